@@ -144,10 +144,10 @@ def _buckets(df: DataFrame, key: str, seed: int | None) -> tuple[DataFrame, list
 
 
 def _with_bucket_start(bucketed: DataFrame, amount: Column) -> DataFrame:
-    """Add ``_start``: the sum of ``amount`` over all earlier buckets."""
+    """Add ``_bucket_start``: the sum of ``amount`` over all earlier buckets."""
     sums = bucketed.groupBy("_bucket").agg(F.sum(amount).alias("_sum"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0).cast("bigint")).alias("_start"))
+    starts = sums.select("_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0).cast("bigint")).alias("_bucket_start"))
     return bucketed.join(F.broadcast(starts), "_bucket")  # at most MAX_BUCKETS rows
 
 
@@ -155,8 +155,8 @@ def global_rank(df: DataFrame, key: str, seed: int | None = None, out: str = "ra
     """1-based position of every row in the natural order of ``key``, or in the seeded order."""
     bucketed, order = _buckets(df, key, seed)
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    ranked = _with_bucket_start(bucketed, F.lit(1).cast("bigint")).withColumn(out, F.col("_start") + within)
-    return ranked.drop("_bucket", "_start")
+    ranked = _with_bucket_start(bucketed, F.lit(1).cast("bigint")).withColumn(out, F.col("_bucket_start") + within)
+    return ranked.drop("_bucket", "_bucket_start")
 
 
 def prefix_offsets(df: DataFrame, key: str, length: str, out: str = "offset") -> DataFrame:
@@ -165,9 +165,9 @@ def prefix_offsets(df: DataFrame, key: str, length: str, out: str = "offset") ->
     before = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     amount = F.col(length).cast("bigint")
     summed = _with_bucket_start(bucketed, amount).withColumn(
-        out, F.col("_start") + F.coalesce(F.sum(amount).over(before), F.lit(0).cast("bigint"))
+        out, F.col("_bucket_start") + F.coalesce(F.sum(amount).over(before), F.lit(0).cast("bigint"))
     )
-    return summed.drop("_bucket", "_start")
+    return summed.drop("_bucket", "_bucket_start")
 
 
 def batch_index(df: DataFrame, key: str, batch_size: int, seed: int | None = None, out: str = "batch") -> DataFrame:

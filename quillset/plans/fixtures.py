@@ -107,6 +107,23 @@ def ner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged sentences whose tags can be learned from the words.
+
+    A capitalised word opens a person, the next capitalised ones go on with it; a word with a digit is a place.
+    """
+    documents = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("sent_id"), words(F.col("text")).alias("tokens")
+    )
+    shape = F.transform(
+        "tokens", lambda w: F.when(w.rlike(r"^\p{Lu}"), F.lit(1)).when(w.rlike(r"\d"), F.lit(5)).otherwise(F.lit(0))
+    )
+    shaped = documents.withColumn("shape", shape)
+    before = F.concat(F.array(F.lit(0)), F.slice("shape", 1, F.greatest(F.size("shape") - 1, F.lit(0))))
+    tags = F.zip_with("shape", before, lambda own, last: F.when((own == 1) & (last == 1), F.lit(2)).otherwise(own))
+    return shaped.select("sent_id", "tokens", tags.alias("tags"))
+
+
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole vectors taken as class scores."""
     return table(spark, sf_dir, "embeddings").select(

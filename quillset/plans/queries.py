@@ -556,18 +556,19 @@ def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sentences = ranks.train_test_split(fixtures.ner(spark, sf_dir), "sent_id", 0.2, SEED)
+    sentences = ranks.train_test_split(fixtures.named_words(spark, sf_dir), "sent_id", 0.2, SEED)
     model = classifiers.train_token_classifier(
-        sentences.filter("split = 'train'"), "tokens", "label", dim=1 << 12, max_iter=5
+        sentences.filter("split = 'train'"), "tokens", "tags", dim=1 << 12, max_iter=5
     )
     rows = classifiers.token_features(
-        sentences.filter("split = 'test'").select("sent_id", "tokens", "label"), "tokens", "label"
-    ).filter(F.col("label") != MASKED_LABEL)
+        sentences.filter("split = 'test'").select("sent_id", "tokens", "tags"), "tokens", "tags"
+    )
     return classifiers.evaluate(model, rows)
 
 
 def m5_tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = classifiers.train_token_classifier(fixtures.ner(spark, sf_dir), "tokens", "label", dim=1 << 12, max_iter=5)
+    sentences = fixtures.named_words(spark, sf_dir)
+    model = classifiers.train_token_classifier(sentences, "tokens", "tags", dim=1 << 12, max_iter=5)
     benchmark = fixtures.table(spark, sf_dir, "benchmark")
     return classifiers.tag_entities(model, benchmark, "item_id", "text")
 

@@ -6,6 +6,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quillset.operators.nearest import open_index
+
 
 def write_results_csv(df: DataFrame, path: str) -> str:
     """CSV files with a header, quotes doubled inside quoted cells."""
@@ -41,7 +43,7 @@ def save_index(index: dict[str, DataFrame], path: str) -> str:
 
 
 def load_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in ("planes", "leaves", "postings", "items", "copies")}
+    return open_index(spark, path)
 
 
 def save_model(model: PipelineModel, path: str) -> str:
