@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from quillset.functions.fixed_values import MASKED_LABEL
 from quillset.functions.prompts import correct_option
 from quillset.functions.text import words
+from quillset.session import spread
 
 OPTION_WORDS = 3  # words per answer option, taken from the end of the text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, "doc_id") if name == "documents" else df
 
 
 def _joined(word_array: Column, start: Column, length: Column) -> Column:

@@ -57,3 +57,15 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast hint when counting shows that the side is small; otherwise the join is left to Spark."""
     return F.broadcast(df) if fits_broadcast(df, limit) else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a table out by key when it is read in fewer tasks than there are cores to use.
+
+    A few files with one row group each would otherwise keep all later map work in a few tasks. A table of many
+    files is left as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, key)

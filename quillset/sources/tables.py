@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quillset.contracts import REVIEWS, require_columns
 from quillset.functions.fixed_values import NULL_TOKENS
 from quillset.operators.projections import class_dimension
-from quillset.session import broadcast_if_small
+from quillset.session import broadcast_if_small, spread
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -55,8 +55,9 @@ def read_corpus(
     spark: SparkSession, path: str, key: str = "doc_id", text: str = "text", class_column: str = "source"
 ) -> tuple[DataFrame, DataFrame]:
     """Documents (key, text, target) and the class names (target, target_name)."""
-    raw = require_columns(spark.read.parquet(path), key, text, class_column)
-    classes = class_dimension(raw, class_column)
+    stored = require_columns(spark.read.parquet(path), key, text, class_column)
+    classes = class_dimension(stored, class_column)
+    raw = spread(stored, key)
     documents = (
         raw.select(key, text, F.col(class_column).alias("target_name"))
         .join(broadcast_if_small(classes), "target_name", "left")
