@@ -49,9 +49,12 @@ FOLD_EXPANSIONS = dict(_EXPANSIONS)
 
 def fold_accents(text: Column) -> Column:
     """Latin text without accents: ``é`` to ``e``, ``ß`` to ``ss``, typographic quotes to plain ones."""
+    folded = text
     for mark, plain in FOLD_EXPANSIONS.items():
-        text = F.replace(text, F.lit(mark), F.lit(plain))
-    return F.translate(text, FOLD_FROM, FOLD_TO)
+        folded = F.replace(folded, F.lit(mark), F.lit(plain))
+    folded = F.translate(folded, FOLD_FROM, FOLD_TO)
+    plain_ascii = F.octet_length(text) == F.length(text)  # one byte per character: nothing to fold
+    return F.when(plain_ascii, text).otherwise(folded)
 
 
 def words(text: Column) -> Column:

@@ -55,7 +55,7 @@ def key_cutoffs(df: DataFrame, key: str, seed: int, targets) -> DataFrame:
     )
     # at most one row per target, so the broadcast is bounded by the length of the target list
     ranked = keys.join(F.broadcast(cuts), "prefix").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("target").orderBy("k"))
+        "rank", F.row_number().over(Window.partitionBy("target").orderBy("k.hash", "k.key"))
     )
     picked = ranked.filter(F.col("rank") == F.col("offset"))
     return picked.agg(
@@ -79,7 +79,7 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int, allow_fewer: bool = Fal
         )
         df = df.filter(enough.scalar())
     if n <= SMALL_SAMPLE:
-        return df.orderBy(_order_key(key, seed)).limit(n)
+        return df.orderBy(seeded_hash(F.col(key), seed), F.col(key)).limit(n)
     cutoff = key_cutoffs(df, key, seed, lambda rows: [F.least(F.lit(n).cast("bigint"), rows)])
     return df.filter(_order_key(key, seed) <= cutoff.select("cut.t0").scalar())
 
@@ -129,8 +129,8 @@ def _buckets(df: DataFrame, key: str, seed: int | None) -> tuple[DataFrame, list
     or clusters in the keys do not make a bucket large.
     """
     if seed is not None:
-        order = _order_key(key, seed)
-        return df.withColumn("_bucket", F.substring(seeded_hash(F.col(key), seed), 1, 3)), [order]
+        order = seeded_hash(F.col(key), seed)
+        return df.withColumn("_bucket", F.substring(order, 1, 3)), [order, F.col(key)]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(MAX_BUCKETS, 4 * partitions)
     as_double = df.withColumn("_key_as_double", F.col(key).cast("double"))

@@ -13,7 +13,7 @@ from quillset.functions.fixed_values import MASKED_LABEL, SPECIAL_TOKENS
 from quillset.functions.text import basic_tokens
 from quillset.functions.tokens import align_labels, piece_tokens, piece_word_ids
 from quillset.operators.ranks import prefix_offsets
-from quillset.session import BROADCAST_ROW_LIMIT
+from quillset.session import BROADCAST_ROW_LIMIT, materialise
 
 ASSEMBLE_CHUNK = 65_536
 
@@ -30,7 +30,8 @@ def build_vocab(tokens: DataFrame, column: str, size: int, specials: Sequence[st
     read off the table of frequencies.
     """
     exploded = tokens.select(F.explode(column).alias("token")).filter(~F.col("token").isin(list(specials)))
-    counts = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # written once: the texts are read a single time, the cutoff and the selection work on the counts
+    counts = materialise(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token_counts")
     above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     frequencies = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))  # distinct frequencies: few
     cutoff = (
@@ -75,8 +76,9 @@ def encode_tokens(
 
 def _encode_by_join(df: DataFrame, column: str, vocab: DataFrame, key: str, out: str, unknown: int) -> DataFrame:
     rows = df.select(key, F.posexplode(column).alias("pos", "token"))
-    coded = rows.join(vocab.select("token", "id"), "token", "left").select(
-        key, "pos", F.coalesce("id", F.lit(unknown)).cast("int").alias("code")
+    codes = vocab.select("token", F.col("id").alias("_code"))
+    coded = rows.join(codes, "token", "left").select(
+        key, "pos", F.coalesce("_code", F.lit(unknown)).cast("int").alias("code")
     )
     sequences = assemble_sequence(coded, [key], "pos", "code", out)
     joined = df.join(sequences, key, "left")
@@ -153,12 +155,14 @@ def pad_batch(
     labels: str | None = None,
     pad_id: int = 0,
     side: str = "right",
+    length: str | None = None,
 ) -> DataFrame:
     """Pad ids (and labels, with the mask) to the longest sequence of the batch; adds the attention mask.
 
-    Batch lengths are a small aggregate joined back, so a batch of any size is never one task's work.
+    Batch lengths are a small aggregate joined back, so a batch of any size is never one task's work. The input is
+    read twice, so hand in a written table; ``length`` names a stored column with the sequence lengths.
     """
-    lengths = df.groupBy(batch).agg(F.max(F.size(ids)).alias("_longest"))
+    lengths = df.groupBy(batch).agg(F.max(F.col(length) if length else F.size(ids)).alias("_longest"))
     joined = df.join(lengths, batch)
     missing = F.col("_longest") - F.size(ids)
     size = F.size(ids)
@@ -171,15 +175,25 @@ def pad_batch(
 
 
 def pack_sequences(
-    df: DataFrame, key: str, ids: str = "input_ids", block: int = 2048, end_id: int = 3, drop_last: bool = True
+    df: DataFrame,
+    key: str,
+    ids: str = "input_ids",
+    block: int = 2048,
+    end_id: int = 3,
+    drop_last: bool = True,
+    length: str | None = None,
 ) -> DataFrame:
     """Concatenate the sequences in key order, each closed by ``end_id``, and cut the stream into equal blocks.
 
     Every row finds its place in the stream by its offset and is cut into the parts that fall into each block; a
-    block gathers at most ``block`` parts. The short last block is dropped unless ``drop_last`` is off.
+    block gathers at most ``block`` parts. The short last block is dropped unless ``drop_last`` is off. The input is
+    read more than once, so hand in a written table; ``length`` names a stored column with the sequence lengths.
     """
-    closed = df.select(F.col(key).alias("_key"), F.concat(F.col(ids), F.array(F.lit(end_id))).alias("_ids"))
-    sized = closed.withColumn("_n", F.size("_ids"))
+    sized = df.select(
+        F.col(key).alias("_key"),
+        F.concat(F.col(ids), F.array(F.lit(end_id))).alias("_ids"),
+        ((F.col(length) if length else F.size(ids)) + 1).alias("_n"),
+    )
     placed = prefix_offsets(sized, "_key", "_n", "_start")
     first = F.floor(F.col("_start") / F.lit(block)).cast("bigint")
     last = F.floor((F.col("_start") + F.col("_n") - 1) / F.lit(block)).cast("bigint")

@@ -62,13 +62,17 @@ def bio_spans(df: DataFrame, sent: str, tags: str) -> DataFrame:
 
 
 def with_neighbours(
-    df: DataFrame, group: Sequence[str], pos: str, value: str, chunk: int = CHUNK
+    df: DataFrame, group: Sequence[str], pos: str, value: str, chunk: int | None = CHUNK
 ) -> DataFrame:
     """Add ``before`` and ``after``: the value one row earlier and later in the group, by ``pos``.
 
     The window runs per group and stretch of ``chunk`` positions, so a group of any length is spread over many
-    tasks; the values at the seams come from a table with one row per stretch. Values must not be null.
+    tasks; the values at the seams come from a table with one row per stretch. Values must not be null. Without a
+    ``chunk`` the window runs over whole groups: for callers that know them to be short.
     """
+    if chunk is None:
+        whole = Window.partitionBy(*group).orderBy(pos)
+        return df.withColumn("before", F.lag(value).over(whole)).withColumn("after", F.lead(value).over(whole))
     cut = df.withColumn("_chunk", F.floor(F.col(pos) / F.lit(chunk)).cast("bigint"))
     inside = Window.partitionBy(*group, "_chunk").orderBy(pos)
     near = cut.withColumn("before", F.lag(value).over(inside)).withColumn("after", F.lead(value).over(inside))
@@ -93,7 +97,10 @@ def bio_spans_rows(df: DataFrame, sent: str, pos: str, tag: str, chunk: int = CH
     Positions may have gaps (masked tokens taken out beforehand); a gap does not break a span.
     """
     tokens = df.select(F.col(sent).alias("sent"), F.col(pos).alias("pos"), F.col(tag).alias("tag"))
-    near = with_neighbours(tokens, ["sent"], "pos", "tag", chunk)
+    # Positions are distinct within a sentence, so the largest one bounds the longest sentence.
+    longest = tokens.agg(F.max("pos")).first()[0]
+    stretch = chunk if longest is not None and longest >= chunk else None
+    near = with_neighbours(tokens, ["sent"], "pos", "tag", stretch)
     outside = F.lit("O")
     marked = near.select(
         "sent",
@@ -103,7 +110,7 @@ def bio_spans_rows(df: DataFrame, sent: str, pos: str, tag: str, chunk: int = CH
         _ends(F.col("tag"), F.coalesce("after", outside)).alias("ends"),
     ).filter("starts or ends")
     # Starts and ends alternate: a start that is not an end itself is closed by the next marked token.
-    closed = with_neighbours(marked, ["sent"], "pos", "pos", chunk).filter("starts")
+    closed = with_neighbours(marked, ["sent"], "pos", "pos", stretch).filter("starts")
     return closed.select("sent", F.col("pos").alias("start"), F.when(F.col("ends"), F.col("pos"))
                          .otherwise(F.col("after")).alias("end"), "type")
 

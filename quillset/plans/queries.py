@@ -18,7 +18,7 @@ from quillset.functions.text import basic_tokens, preprocess_text
 from quillset.functions.tokens import align_labels
 from quillset.operators import classifiers, embedding, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
 from quillset.plans import evaluation, fixtures, retrieval, training_sets
-from quillset.session import scratch_path
+from quillset.session import materialise, scratch_path
 from quillset.sources import sinks, tables
 
 SEED = 42
@@ -91,8 +91,13 @@ def s7_write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_metrics(spark, path, one_row.schema)
 
 
+def _stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled reviews as a table with one folder per split, as training reads them many times."""
+    return materialise(training_sets.review_dataset(fixtures.reviews(spark, sf_dir), SEED), "review_splits", ["split"])
+
+
 def s8_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = training_sets.review_dataset(fixtures.reviews(spark, sf_dir), SEED)
+    dataset = _stored_reviews(spark, sf_dir)
     model = classifiers.text_classifier(max_iter=5).fit(dataset.filter("split = 'train'"))
     loaded = sinks.load_model(sinks.save_model(model, scratch_path(spark, "model")))
     return classifiers.predict(loaded, dataset.filter("split = 'test'")).select("id", "label", "predicted")
@@ -281,6 +286,14 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.encode_tokens(documents, "tokens", _vocab(spark, sf_dir), "doc_id").select("doc_id", "input_ids")
 
 
+def _stored_ids(spark: SparkSession, sf_dir: str, max_len: int | None = None) -> DataFrame:
+    """The encoded documents as a written table, for operators that read them more than once."""
+    coded = _encoded(spark, sf_dir)
+    if max_len is not None:
+        coded = sequences.truncate_sequences(coded, max_len, "input_ids")
+    return materialise(coded.withColumn("n", F.size("input_ids")), "encoded")
+
+
 def j7_encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoded(spark, sf_dir).select("doc_id", text_of("input_ids").alias("input_ids"))
 
@@ -451,15 +464,15 @@ def k3_tokenize_presplit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k4_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = sequences.truncate_sequences(_encoded(spark, sf_dir), MAX_LEN, "input_ids")
-    padded = sequences.pad_batch(ranks.batch_index(coded, "doc_id", 64))
+    coded = ranks.batch_index(_stored_ids(spark, sf_dir, MAX_LEN), "doc_id", 64)
+    padded = sequences.pad_batch(coded, length="n")
     return padded.select(
         "doc_id", "batch", text_of("input_ids").alias("input_ids"), text_of("attention_mask").alias("attention_mask")
     )
 
 
 def k5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = sequences.pack_sequences(_encoded(spark, sf_dir), "doc_id", block=BLOCK)
+    packed = sequences.pack_sequences(_stored_ids(spark, sf_dir), "doc_id", block=BLOCK, length="n")
     return packed.select("block", text_of("input_ids").alias("input_ids"))
 
 
@@ -541,7 +554,7 @@ def m1_score_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m2_train_text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = training_sets.review_dataset(fixtures.reviews(spark, sf_dir), SEED)
+    dataset = _stored_reviews(spark, sf_dir)
     _, scores = classifiers.train_text_classifier(
         dataset.filter("split = 'train'"), dataset.filter("split = 'validation'"), max_iter=10
     )
@@ -549,7 +562,7 @@ def m2_train_text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = training_sets.review_dataset(fixtures.reviews(spark, sf_dir), SEED)
+    dataset = _stored_reviews(spark, sf_dir)
     model = classifiers.text_classifier(max_iter=10).fit(dataset.filter("split = 'train'"))
     predicted = classifiers.predict(model, dataset.filter("split = 'test'"))
     return metrics.classification_report(predicted, "label", "predicted")
@@ -574,7 +587,7 @@ def m5_tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m6_hyperparameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = training_sets.review_dataset(fixtures.reviews(spark, sf_dir), SEED)
+    dataset = _stored_reviews(spark, sf_dir)
 
     def to_param_map(pipeline, trial: dict) -> dict:
         hashing, regression = pipeline.getStages()[2], pipeline.getStages()[4]
