@@ -19,6 +19,7 @@ from quillset.functions.answers import argmax
 from quillset.functions.fixed_values import ENTITY_LABELS, MASKED_LABEL
 from quillset.functions.text import STOPWORDS, words
 from quillset.operators.metrics import choice_scores
+from quillset.operators.rows import explode_rows, posexplode_rows
 from quillset.operators.spans import span_array
 
 
@@ -75,7 +76,7 @@ def token_features(df: DataFrame, tokens: str, labels: str | None = None) -> Dat
     if labels:
         columns.append(F.col(labels).alias("label"))
     others = [c for c in df.columns if c not in (tokens, labels)]
-    exploded = prepared.select(*others, F.posexplode(F.arrays_zip(*columns)).alias("pos", "c")).select(*others, "pos", "c.*")
+    exploded = posexplode_rows(prepared, F.arrays_zip(*columns), "pos", "c", *others).select(*others, "pos", "c.*")
     word = F.col("word")
     return (
         exploded.withColumn("prefix", F.substring(word, 1, 3))
@@ -126,7 +127,7 @@ def tag_entities(
 
 def entity_spans(tagged: DataFrame, tokens: str, tags: str, key: str) -> DataFrame:
     """Entities of tag arrays as text: (key, start, end, type, words)."""
-    spans = tagged.select(key, F.col(tokens).alias("_t"), F.explode(span_array(F.col(tags))).alias("s"))
+    spans = explode_rows(tagged.withColumnRenamed(tokens, "_t"), span_array(F.col(tags)), "s", key, "_t")
     return spans.select(
         key, "s.*", F.array_join(F.slice("_t", F.col("s.start") + 1, F.col("s.end") - F.col("s.start") + 1), " ").alias("words")
     )

@@ -13,6 +13,7 @@ from quillset.functions.fixed_values import MASKED_LABEL, SPECIAL_TOKENS
 from quillset.functions.text import basic_tokens
 from quillset.functions.tokens import align_labels, piece_tokens, piece_word_ids
 from quillset.operators.ranks import prefix_offsets
+from quillset.operators.rows import explode_rows, posexplode_rows
 from quillset.session import BROADCAST_ROW_LIMIT, materialise
 
 ASSEMBLE_CHUNK = 65_536
@@ -29,9 +30,10 @@ def build_vocab(tokens: DataFrame, column: str, size: int, specials: Sequence[st
     task. Only tokens at least as frequent as the one at position ``size`` reach the final sort: that frequency is
     read off the table of frequencies.
     """
-    exploded = tokens.select(F.explode(column).alias("token")).filter(~F.col("token").isin(list(specials)))
+    exploded = explode_rows(tokens, column, "token")
     # written once: the texts are read a single time, the cutoff and the selection work on the counts
     counts = materialise(exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token_counts")
+    counts = counts.filter(~F.col("token").isin(list(specials)))
     above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     frequencies = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))  # distinct frequencies: few
     cutoff = (
@@ -75,7 +77,7 @@ def encode_tokens(
 
 
 def _encode_by_join(df: DataFrame, column: str, vocab: DataFrame, key: str, out: str, unknown: int) -> DataFrame:
-    rows = df.select(key, F.posexplode(column).alias("pos", "token"))
+    rows = posexplode_rows(df, column, "pos", "token", key)
     codes = vocab.select("token", F.col("id").alias("_code"))
     coded = rows.join(codes, "token", "left").select(
         key, "pos", F.coalesce("_code", F.lit(unknown)).cast("int").alias("code")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillset.functions.answers import ids_to_labels, mask_filter
 from quillset.functions.fixed_values import ENTITY_LABELS
+from quillset.operators.rows import explode_rows
 
 CHUNK = 65_536  # positions of one sentence handled by one window
 
@@ -58,7 +59,8 @@ def span_array(tags: Column) -> Column:
 
 def bio_spans(df: DataFrame, sent: str, tags: str) -> DataFrame:
     """Spans of tag arrays, one sentence per row: (sent, start, end, type)."""
-    return df.select(F.col(sent).alias("sent"), F.explode(span_array(F.col(tags))).alias("s")).select("sent", "s.*")
+    found = explode_rows(df.withColumnRenamed(sent, "sent"), span_array(F.col(tags)), "s", "sent")
+    return found.select("sent", "s.*")
 
 
 def with_neighbours(
@@ -143,9 +145,8 @@ def entity_scores(
     def kinds(column: Column, side: str) -> Column:
         return F.transform(column, lambda k: F.struct(F.substring_index(k, ":", 1).alias("type"), F.lit(side).alias("side")))
 
-    found = keys.select(
-        F.explode(F.concat(kinds(F.col("truth"), "t"), kinds(F.col("guess"), "g"), kinds(matched, "m"))).alias("k")
-    )
+    sides = F.concat(kinds(F.col("truth"), "t"), kinds(F.col("guess"), "g"), kinds(matched, "m"))
+    found = explode_rows(keys, sides, "k")
     counts = found.rollup(F.col("k.type").alias("type")).agg(
         F.count_if(F.col("k.side") == "t").alias("true_spans"),
         F.count_if(F.col("k.side") == "g").alias("predicted_spans"),

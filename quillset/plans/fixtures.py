@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillset.functions.fixed_values import MASKED_LABEL
 from quillset.functions.prompts import correct_option
 from quillset.functions.text import words
+from quillset.operators.rows import posexplode_rows
 from quillset.session import spread
 
 OPTION_WORDS = 3  # words per answer option, taken from the end of the text
@@ -99,13 +100,9 @@ def ner(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ner_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tagged sentences with one token per row."""
     cells = F.arrays_zip("tokens", "tags", "pred", "label")
-    return (
-        ner(spark, sf_dir)
-        .select("sent_id", F.posexplode(cells).alias("pos", "c"))
-        .select(
-            "sent_id", "pos", F.col("c.tokens").alias("token"), F.col("c.tags").alias("tag"),
-            F.col("c.pred").alias("pred"), F.col("c.label").alias("label"),
-        )
+    return posexplode_rows(ner(spark, sf_dir), cells, "pos", "c", "sent_id").select(
+        "sent_id", "pos", F.col("c.tokens").alias("token"), F.col("c.tags").alias("tag"),
+        F.col("c.pred").alias("pred"), F.col("c.label").alias("label"),
     )
 
 

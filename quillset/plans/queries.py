@@ -17,6 +17,7 @@ from quillset.functions.fixed_values import ENTITY_LABELS, MASKED_LABEL
 from quillset.functions.text import basic_tokens, preprocess_text
 from quillset.functions.tokens import align_labels
 from quillset.operators import classifiers, embedding, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
+from quillset.operators.rows import explode_rows
 from quillset.plans import evaluation, fixtures, retrieval, training_sets
 from quillset.session import materialise, scratch_path
 from quillset.sources import sinks, tables
@@ -136,7 +137,7 @@ def p5_instruction_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_label_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tags = fixtures.ner(spark, sf_dir).select(F.explode("tags").alias("label_id"))
+    tags = explode_rows(fixtures.ner(spark, sf_dir), "tags", "label_id")
     counts = tags.groupBy("label_id").agg(F.count(F.lit(1)).alias("tokens"))
     return projections.label_dictionary(counts, ENTITY_LABELS).join(counts, "label_id", "left")
 
