@@ -151,6 +151,8 @@ def block_top_k(
         return side.groupBy(*groups).agg(count.alias(name))
 
     sizes = blocks(queries, query_block, "_nq").join(blocks(items, item_block, "_ni"), groups)
+    # one row per group; shipped when few, so that a crowded group is not gathered by its key before it is cut
+    sizes = broadcast_if_small(sizes)
 
     def spread(side: DataFrame, vectors: DataFrame, key: str, own: str, own_count: str, other: str, other_count: str):
         place = F.pmod(F.xxhash64(key), F.col(own_count)).cast("int").alias(own)
