@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillset.llm import bpe, dedup, tokencount
+from quillset.llm import bpe, dedup, jaccard, tokencount
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -21,6 +21,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), WORD_BPE)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(documents(spark, sf_dir), dedup.new_index(spark))
 
@@ -31,6 +35,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_token_counts": op6_token_counts,
 }
