@@ -4,14 +4,15 @@ Equal sets form a class, which its smallest document stands for. Two linked sets
 ``n - ceil(0.8 n) + 1`` of each under any common order; frequent shingles come last in the order used, so that they seldom
 gather many classes. The classes that hold a shingle there form its bucket, and buckets are searched in two rounds:
 
-1. each class is checked against one leader, the first class of most of its buckets; linked classes get a common label;
+1. each class is checked against one leader, the fullest class of most of its buckets; linked classes get a common label;
 2. in each bucket that still holds several labels, a signature tree is built. A node holds the OR of its members' token
    bitmaps, the range of their sizes and their common label, if they have one. The tree is traversed against itself, and a
    pair of nodes is left out when its sizes, its labels or its largest possible overlap rule every link out. What reaches
    the leaves is a candidate.
 
 Candidates of both rounds are checked on the whole sets. Pairs inside a label are never formed, so a group of copies costs
-about as many checks as it has members. Shingles are compared by 64-bit hashes.
+about as many checks as it has members. Shingles
+and classes are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -39,78 +40,98 @@ FREQUENT, CHUNK = 1000, 4_000_000
 FANOUT = 8
 #: Rows of a bucket that are searched in one task; a larger bucket is searched block by block.
 BLOCK = 4096
+#: Buckets of a class that are known in each of its buckets, so that a pair is seldom given twice.
+FIRSTS = 8
+#: Texts that meet the text of one class in one run.
+MEETING = 256
 
 
-def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the frequent shingles and the level of each: the higher, the more frequent."""
+def bitmap(hashes: np.ndarray) -> bytes:
+    """One bit per shingle, by the low bits of its hash, in a map of a power of two bits: at least four times the set's
+    size for small sets, down to its size for large ones. Linked sets have widths that differ by one doubling at most."""
+    n = len(hashes)
+    width = max(64, min(1 << (4 * n - 1).bit_length(), 2048 if n <= 1024 else 4096), 1 << (n - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def class_of(hashes: np.ndarray) -> int | None:
+    """The class of a set: 64 bits of the digest of its sorted shingles; none for the empty set."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True) if len(hashes) else None
+
+
+def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Two kinds of rows of one pass over the texts: id, n, class and bits for each document; shingle and n for the
+    shingles that many documents of a run share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(sets: list[np.ndarray]) -> pa.RecordBatch:
+        def often(sets: list[np.ndarray]) -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = counts >= max(4, len(sets) // FREQUENT)
-            return pa.RecordBatch.from_pydict({
-                "shingle": values[often].view(np.int64), "n": counts[often], "docs": np.zeros(int(often.sum()), dtype=np.int64)
-            })
+            many = counts >= max(4, len(sets) // FREQUENT)
+            size = int(many.sum())
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(size, pa.int64()), pa.array(counts[many]), pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), pa.array(values[many].view(np.int64))],
+                names=["id", "n", "class", "bits", "shingle"],
+            )
 
         held: list[np.ndarray] = []
-        size = rows = 0
+        size = 0
         for batch in in_pieces(batches, text):
-            sets = [s for s in shingle_sets(batch.column(text)) if len(s)]
-            held, size, rows = held + sets, size + sum(map(len, sets)), rows + len(sets)
+            sets = shingle_sets(batch.column(text))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64()),
+                    pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(len(sets), pa.int64()),
+                ],
+                names=["id", "n", "class", "bits", "shingle"],
+            )
+            held, size = held + [s for s in sets if len(s)], size + sum(map(len, sets))
             if size >= CHUNK:
-                yield counted(held)
+                yield often(held)
                 held, size = [], 0
         if held:
-            yield counted(held)
-        yield pa.RecordBatch.from_pydict({"shingle": pa.array([None], pa.int64()), "n": pa.array([0]), "docs": pa.array([rows])})
-
-    counts = docs.select(text).mapInArrow(run, "shingle long, n long, docs long").groupBy("shingle").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    counts = materialise(counts, "frequent-shingles")
-    total = counts.filter("shingle IS NULL").agg(F.sum("docs")).first()[0] or 0
-    often = counts.filter("shingle IS NOT NULL").filter(F.col("n") >= max(8, total // (2 * FREQUENT)))
-    found = often.select("shingle", F.log2("n").cast("int").alias("level")).toPandas()
+            yield often(held)
+
+    rows = docs.select(F.col(key).alias("id"), F.col(text)).mapInArrow(run, "id long, n long, class long, bits binary, shingle long")
+    return materialise(rows, "signatures")
+
+
+def frequent_shingles(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the frequent shingles and the level of each: the higher, the more frequent."""
+    least = max(8, signed.filter("shingle IS NULL").count() // (2 * FREQUENT))
+    counts = signed.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    found = counts.select("shingle", F.log2("n").cast("int").alias("level")).toPandas()
     hashes = found["shingle"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], found["level"].to_numpy(dtype=np.int64)[order]
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """One bit per shingle in a map of a power of two bits, twice the set's size or more; low bits of the hash."""
-    width = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
-    bits = np.zeros(width, dtype=bool)
-    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
-def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per document: id, size of its set, digest of the set (null if empty), bitmap, and the first shingles in order."""
-    hot, level = frequent_shingles(docs, text)
+def first_shingles(docs: DataFrame, text: str, hot: np.ndarray, level: np.ndarray) -> DataFrame:
+    """Rows (token, id): 48 bits of each of the first shingles of a class in the common order. Copies read by one task
+    give them once."""
     sent = docs.sparkSession.sparkContext.broadcast((hot, level))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, level = sent.value
-        for batch in in_pieces(batches, text):
-            sizes, digests, bits, firsts = [], [], [], []
+        seen: set[int] = set()
+        for batch in in_pieces(batches, text, 1 << 20):
+            tokens, ids = [], []
             for hashes in shingle_sets(batch.column(text)):
-                n = len(hashes)
-                sizes.append(n)
-                digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if n else None)
-                bits.append(bitmap(hashes) if n else b"")
-                if len(hot) and n:
+                n, own = len(hashes), class_of(hashes)
+                if not n or own in seen:
+                    continue
+                seen.add(own)
+                if len(hot):
                     at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
                     hashes = hashes[np.argsort(np.where(hot[at] == hashes, level[at], 0), kind="stable")]
-                firsts.append(hashes[: n - -(-PERCENT * n // 100) + 1 if n else 0].view(np.int64))
-            offsets = np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bits, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(firsts))),
-                ],
-                names=["id", "n", "digest", "bits", "first"],
-            )
+                tokens.append(hashes[: n - -(-PERCENT * n // 100) + 1])
+                ids.append(np.full(len(tokens[-1]), own, dtype=np.int64))
+            if tokens:
+                token = (np.concatenate(tokens) >> np.uint64(16)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.concatenate(ids))], names=["token", "id"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text))
-    return materialise(rows.mapInArrow(run, "id long, n long, digest binary, bits binary, first array<long>"), "signatures")
+    return docs.select(text).mapInArrow(run, "token long, id long")
 
 
 class Leaf:
@@ -213,17 +234,23 @@ def tree_pairs(left: list[Leaf], right: list[Leaf] | None = None) -> Iterator[tu
 def bucket_candidates(rows: DataFrame) -> DataFrame:
     """Distinct pairs a < b of classes that the trees of the buckets leave.
 
-    ``rows``: token, left and right block, side, id, n, label, bits; one row per class, bucket and pair of blocks.
+    ``rows``: token, left and right block, side, id, n, label, bits, firsts; one row per class, bucket and pair of blocks.
+    ``firsts`` are the first few buckets of the class: a pair with a common one of them is given in that bucket only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(bucket: list[tuple]) -> Iterator[tuple[int, int]]:
+        def found(token: int, bucket: list[tuple]) -> Iterator[tuple[int, int]]:
             sides: tuple[dict, dict] = ({}, {})
-            for _, _, _, side, key, n, label, bits in bucket:
+            firsts = {}
+            for _, _, _, side, key, n, label, bits, own in bucket:
                 if key not in sides[side]:
                     sides[side][key] = Leaf(key, n, label, bits)
+                    firsts[key] = frozenset(own)
             left, right = ([*s.values()] for s in sides)
-            return tree_pairs(left) if not right else tree_pairs(left, right)
+            for a, b in tree_pairs(left, right or None):
+                common = firsts[a] & firsts[b]
+                if not common or min(common) == token:
+                    yield a, b
 
         def flushed() -> pa.RecordBatch:
             a, b = zip(*pairs) if pairs else ((), ())
@@ -231,8 +258,8 @@ def bucket_candidates(rows: DataFrame) -> DataFrame:
 
         pairs: set[tuple[int, int]] = set()
         stream = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-        for _, bucket in groupby(stream, key=lambda r: r[:3]):
-            for pair in found([*bucket]):
+        for (token, _, _), bucket in groupby(stream, key=lambda r: r[:3]):
+            for pair in found(token, [*bucket]):
                 pairs.add(pair)
                 if len(pairs) >= 200_000:
                     yield flushed()
@@ -240,15 +267,14 @@ def bucket_candidates(rows: DataFrame) -> DataFrame:
         yield flushed()
 
     dealt = rows.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
-    dealt = dealt.select("token", "left", "right", "side", "id", "n", "label", "bits")
+    dealt = dealt.select("token", "left", "right", "side", "id", "n", "label", "bits", "firsts")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
-    """Buckets of more than BLOCK rows cut into blocks by a hash of the id; every two blocks of a bucket meet once."""
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
+    """Buckets of more than BLOCK rows (column ``rows``) cut into blocks by a hash of the id; every two blocks meet once."""
     blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    cut = rows.join(counts, "token").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    cut = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     meets = F.when(
         F.col("blocks") > 1,
         F.transform(
@@ -258,8 +284,8 @@ def in_blocks(rows: DataFrame) -> DataFrame:
             ),
         ),
     ).otherwise(F.array(F.struct(F.lit(0).alias("left"), F.lit(0).alias("right"), F.lit(0).alias("side"))))
-    cut = cut.select("token", "id", "n", "label", "bits", F.explode(meets).alias("meet"))
-    return cut.select("token", "meet.left", "meet.right", "meet.side", "id", "n", "label", "bits")
+    cut = cut.select("token", "id", "n", "label", "bits", "firsts", F.explode(meets).alias("meet"))
+    return cut.select("token", "meet.left", "meet.right", "meet.side", "id", "n", "label", "bits", "firsts")
 
 
 def with_bits(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -279,30 +305,38 @@ def with_bits(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def checked(pairs: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs that are linked, by their whole sets. ``pairs`` is read twice: write it first."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = docs.select(F.col(key).cast("long").alias("id"), F.col(text)).join(broadcast_if_small(ids), "id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, text):
-            found = [s.tobytes() for s in shingle_sets(batch.column(text))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], names=["id", "hashes"])
+def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by the whole texts of the documents that stand for them.
 
-    hashes = materialise(wanted.mapInArrow(sets, "id long, hashes binary"), "shingle-sets")
+    The texts of the members ``b`` of each ``a`` meet the text of ``a`` in runs of MEETING, so a class with many partners is
+    spread over many tasks. ``pairs`` is read several times: write it first.
+    """
+    crowd = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEETING).cast("int").alias("runs"))
+    whole = crowd.select("a", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("run"), F.col("a").alias("id"))
+    members = pairs.join(crowd, "a").select("a", F.pmod(F.xxhash64("b"), "runs").cast("int").alias("run"), F.col("b").alias("id"))
+    parts = whole.unionByName(members).join(classes.select("id", "doc"), "id")
+    parts = materialise(parts, "parts")
+    wanted = parts.select("doc").distinct()
+    texts = docs.select(F.col(key).alias("doc"), text).join(broadcast_if_small(wanted), "doc", "left_semi").dropDuplicates(["doc"])
+    small = parts.select("a", "run", "id", "doc")
+    meeting = texts.join(broadcast_if_small(small), "doc").select("a", "run", "id", text)
+    meeting = meeting.repartition("a", "run").sortWithinPartitions("a", "run", F.col("id") != F.col("a"))
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(common * (100 + PERCENT) >= PERCENT * (len(x) + len(y)) and common > 0)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, whole = None, None
+        for batch in in_pieces(batches, text):
+            a, b = [], []
+            for left, part, right, hashes in zip(*(batch.column(c).to_pylist() for c in ("a", "run", "id")), shingle_sets(batch.column(text))):
+                if right == left:
+                    met, whole = (left, part), hashes
+                elif met == (left, part):
+                    common = len(whole) + len(hashes) - len(np.union1d(whole, hashes))
+                    if common * (100 + PERCENT) >= PERCENT * (len(whole) + len(hashes)):
+                        a.append(left)
+                        b.append(right)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    both = pairs.join(hashes.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
-    both = both.join(hashes.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long")
+    return meeting.mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -330,31 +364,44 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     docs = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
     signed = signatures(docs, key, text)
-    groups = materialise(signed.filter("n > 0").groupBy("digest").agg(F.min("id").alias("id")), "classes")
-    classes = signed.join(groups.select("id", "digest"), ["id", "digest"], "left_semi").dropDuplicates(["id"]).select("id", "n", "bits", "first")
-    classes = materialise(classes, "class-signatures")
-
-    held = classes.select(F.explode("first").alias("token"), "id", "n").repartition("token")
-    leads = held.groupBy("token").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last").drop("last")
-    shared = materialise(held.join(leads.hint("shuffle_hash"), "token"), "shared-shingles")
-
-    # round 1: one leader for each class
-    votes = shared.filter("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("votes"))
-    leaders = votes.groupBy(F.col("id").alias("b")).agg(F.max_by("lead", F.struct("votes", -F.col("lead"))).alias("a")).select("a", "b")
-    first = materialise(checked(materialise(with_bits(leaders, classes), "leader-pairs"), docs, key, text), "leader-links")
-
-    # round 2: buckets that hold several labels
-    labelled = components(first).select("id", "label")
-    rows = shared.select("token", "id", "n").join(labelled, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_buckets = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
-    rows = rows.join(open_buckets, "token").join(classes.select("id", "bits"), "id")
+    hot, level = frequent_shingles(signed)
+    signed = signed.filter("shingle IS NULL").drop("shingle")
+    classes = signed.filter("class IS NOT NULL").groupBy(F.col("class").alias("id")).agg(F.min("id").alias("doc"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = materialise(classes, "classes")
+
+    held = first_shingles(docs, text, hot, level).repartition("token").distinct()
+    sizes = held.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    shared = materialise(held.join(sizes.hint("shuffle_hash"), "token"), "shared-shingles")
+
+    # round 1: one leader for each class, a class that fills its buckets
+    scores = shared.groupBy("id").agg(F.sum("rows").alias("mates")).join(classes.select("id", "n"), "id")
+    scores = scores.select("id", (F.col("mates") / F.col("n")).alias("score"))
+    leads = shared.join(scores, "id").groupBy("token").agg(F.max_by("id", F.struct("score", "id")).alias("lead"))
+    votes = shared.join(leads, "token").filter("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("votes"))
+    leaders = votes.groupBy(F.col("id").alias("b")).agg(F.max_by("lead", F.struct("votes", "lead")).alias("a")).select("a", "b")
+    leaders = materialise(with_bits(leaders, classes), "leader-pairs")
+    first = materialise(checked(leaders, classes, docs, key, text), "leader-links")
+
+    # round 2: buckets that hold several labels, one of those that hold the same classes
+    labelled = components(first)
+    rows = shared.select("token", "id").join(labelled, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    rows = materialise(rows, "labelled-shingles")
+    buckets = rows.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("id")).alias("held")
+    )
+    buckets = buckets.filter("low < high").groupBy("low", "high", "rows", "held").agg(F.min("token").alias("token"))
+    rows = materialise(rows.join(buckets.select("token", "rows"), "token"), "open-buckets")
+    tokens = rows.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("token")), 1, FIRSTS).alias("firsts"))
+    rows = rows.join(classes.select("id", "n", "bits").join(tokens, "id"), "id")
     pairs = materialise(bucket_candidates(in_blocks(rows)), "tree-pairs")
-    second = checked(pairs, docs, key, text)
+    second = checked(pairs, classes, docs, key, text)
 
     found = components(first.unionByName(second))
-    known = signed.select("id", "n", "digest").join(groups.select("digest", F.col("id").alias("class")), "digest", "left")
-    known = known.join(found.withColumnRenamed("id", "class"), "class", "left")
-    return known.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("label", "class", "id").alias("component_id"))
+    # a component's key is the smallest one of its classes' documents
+    named = found.join(classes.select("id", "doc"), "id").groupBy("label").agg(F.min("doc").alias("component_id"))
+    named = found.join(named, "label").select(F.col("id").alias("class"), "component_id")
+    known = signed.select("id", "n", "class").join(classes.select(F.col("id").alias("class"), "doc"), "class", "left").join(named, "class", "left")
+    return known.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc", "id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
