@@ -9,8 +9,8 @@ from quillset.functions.fixed_values import MASKED_LABEL
 
 
 def word_pieces(word: Column, width: int) -> Column:
-    """Pieces of at most ``width`` characters."""
-    last = F.floor((F.length(word) - 1) / F.lit(width)).cast("int")
+    """Pieces of at most ``width`` characters; the empty word is one empty piece, as it keeps its place and label."""
+    last = F.greatest(F.floor((F.length(word) - 1) / F.lit(width)).cast("int"), F.lit(0))
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(word, i * width + 1, F.lit(width)))
 
 
@@ -24,7 +24,7 @@ def piece_word_ids(tokens: Column, width: int) -> Column:
     """Index of the word each piece came from; null for the special tokens at both ends."""
     special = F.array(F.lit(None).cast("int"))
     ids = F.flatten(
-        F.transform(tokens, lambda w, i: F.array_repeat(i, F.ceil(F.length(w) / F.lit(width)).cast("int")))
+        F.transform(tokens, lambda w, i: F.array_repeat(i, F.greatest(F.ceil(F.length(w) / F.lit(width)).cast("int"), F.lit(1))))
     )
     return F.concat(special, ids, special)
 

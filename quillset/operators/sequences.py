@@ -197,8 +197,8 @@ def pack_sequences(
         ((F.col(length) if length else F.size(ids)) + 1).alias("_n"),
     )
     placed = prefix_offsets(sized, "_key", "_n", "_start")
-    first = F.floor(F.col("_start") / F.lit(block)).cast("bigint")
-    last = F.floor((F.col("_start") + F.col("_n") - 1) / F.lit(block)).cast("bigint")
+    first = F.expr(f"_start div {block}")
+    last = F.expr(f"(_start + _n - 1) div {block}")
     spread = placed.select("_ids", "_n", "_start", F.explode(F.sequence(first, last)).alias("block"))
     begin = F.greatest(F.col("block") * block - F.col("_start"), F.lit(0).cast("bigint"))
     stop = F.least((F.col("block") + 1) * block - F.col("_start"), F.col("_n").cast("bigint"))

@@ -348,7 +348,7 @@ ORACLES: dict[str, str] = {
     f"{_joined(f'list_transform(ids[1:{MAX_LEN}], lambda x: 1)')} as attention_mask from encoded",
     "k3_tokenize_presplit": _with(PIECES) + f"select sent_id, {_joined('pieces')} as pieces, {_joined('word_ids')} as word_ids, "
     f"{_joined('labels')} as labels from ner_split",
-    "k4_pad_batch": _with(ENCODED, f"cut as (select doc_id, ids[1:{MAX_LEN}] as ids, (row_number() over (order by doc_id) - 1) // 64 as batch from encoded)",
+    "k4_pad_batch": _with(ENCODED, "cut as (select doc_id, ids, (row_number() over (order by doc_id) - 1) // 64 as batch from encoded)",
                           "longest as (select *, max(len(ids)) over (partition by batch) - len(ids) as missing from cut)")
     + f"select doc_id, batch, {_joined('list_concat(ids, list_transform(range(0, missing), lambda x: 0))')} as input_ids, "
     f"{_joined('list_concat(list_transform(ids, lambda x: 1), list_transform(range(0, missing), lambda x: 0))')} as attention_mask from longest",
@@ -356,7 +356,7 @@ ORACLES: dict[str, str] = {
                                f"placed as (select id, row_number() over (order by doc_id, pos) - 1 as p from stream)")
     + f"select p // {BLOCK} as block, string_agg(cast(id as varchar), ' ' order by p) as input_ids from placed group by block having count(*) = {BLOCK}",
     "k6_truncate_sequences": _with(ENCODED) + f"select doc_id, cast(len(ids[1:1024]) as int) as n, {_joined('ids[1:1024]')} as input_ids from encoded",
-    "k7_sft_dataset": _with(MCQ, f"chosen as (select * from mcq where {SINGLE} order by {_hash('id')} limit 20000)")
+    "k7_sft_dataset": _with(MCQ, f"chosen as (select * from mcq where {SINGLE} order by {_hash('id')})")
     + f"select id, split, {SFT_TEXT} as text from {_two_way('chosen', 'id', 0.3)}",
     "k7_exam_sft_dataset": _with(MCQ) + f"select id, {BEGIN} || {_turn('user', '(' + EXAM_PROMPT + ')')} || "
     f"{_turn('assistant', '(' + ANSWER_TARGET + ')')} as text from mcq",

@@ -19,7 +19,7 @@ from quillset.functions.tokens import align_labels
 from quillset.operators import classifiers, embedding, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
 from quillset.operators.rows import explode_rows
 from quillset.plans import evaluation, fixtures, retrieval, training_sets
-from quillset.session import materialise, scratch_path
+from quillset.session import broadcast_if_small, materialise, scratch_path
 from quillset.sources import sinks, tables
 
 SEED = 42
@@ -62,7 +62,7 @@ def s3_load_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s4_read_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, classes = tables.read_corpus(spark, f"{sf_dir}/documents.parquet")
-    return documents.join(F.broadcast(classes), "target").select("doc_id", "text", "target", "target_name")
+    return documents.join(broadcast_if_small(classes), "target", "left").select("doc_id", "text", "target", "target_name")
 
 
 def s5_write_results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +99,7 @@ def _stored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s8_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = _stored_reviews(spark, sf_dir)
-    model = classifiers.text_classifier(max_iter=5).fit(dataset.filter("split = 'train'"))
+    model = classifiers.text_classifier().fit(dataset.filter("split = 'train'"))
     loaded = sinks.load_model(sinks.save_model(model, scratch_path(spark, "model")))
     return classifiers.predict(loaded, dataset.filter("split = 'test'")).select("id", "label", "predicted")
 
@@ -465,7 +465,7 @@ def k3_tokenize_presplit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k4_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = ranks.batch_index(_stored_ids(spark, sf_dir, MAX_LEN), "doc_id", 64)
+    coded = ranks.batch_index(_stored_ids(spark, sf_dir), "doc_id", 64)
     padded = sequences.pad_batch(coded, length="n")
     return padded.select(
         "doc_id", "batch", text_of("input_ids").alias("input_ids"), text_of("attention_mask").alias("attention_mask")
@@ -483,7 +483,7 @@ def k6_truncate_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k7_sft_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dataset = training_sets.sft_dataset(fixtures.mcq(spark, sf_dir), 20_000, allow_fewer=True)
+    dataset = training_sets.sft_dataset(fixtures.mcq(spark, sf_dir))
     path = training_sets.write_sft_dataset(dataset, scratch_path(spark, "sft"))
     return tables.read_split(spark, path).select("id", "split", "text")
 
@@ -557,14 +557,14 @@ def m1_score_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m2_train_text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = _stored_reviews(spark, sf_dir)
     _, scores = classifiers.train_text_classifier(
-        dataset.filter("split = 'train'"), dataset.filter("split = 'validation'"), max_iter=10
+        dataset.filter("split = 'train'"), dataset.filter("split = 'validation'")
     )
     return scores
 
 
 def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = _stored_reviews(spark, sf_dir)
-    model = classifiers.text_classifier(max_iter=10).fit(dataset.filter("split = 'train'"))
+    model = classifiers.text_classifier().fit(dataset.filter("split = 'train'"))
     predicted = classifiers.predict(model, dataset.filter("split = 'test'"))
     return metrics.classification_report(predicted, "label", "predicted")
 
@@ -572,7 +572,7 @@ def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = ranks.train_test_split(fixtures.named_words(spark, sf_dir), "sent_id", 0.2, SEED)
     model = classifiers.train_token_classifier(
-        sentences.filter("split = 'train'"), "tokens", "tags", dim=1 << 12, max_iter=5
+        sentences.filter("split = 'train'"), "tokens", "tags"
     )
     rows = classifiers.token_features(
         sentences.filter("split = 'test'").select("sent_id", "tokens", "tags"), "tokens", "tags"
@@ -582,7 +582,7 @@ def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def m5_tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = fixtures.named_words(spark, sf_dir)
-    model = classifiers.train_token_classifier(sentences, "tokens", "tags", dim=1 << 12, max_iter=5)
+    model = classifiers.train_token_classifier(sentences, "tokens", "tags")
     benchmark = fixtures.table(spark, sf_dir, "benchmark")
     return classifiers.tag_entities(model, benchmark, "item_id", "text")
 
@@ -595,7 +595,7 @@ def m6_hyperparameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         return {regression.regParam: trial["reg_param"], hashing.numFeatures: int(trial["features"])}
 
     return classifiers.hyperparameter_search(
-        lambda: classifiers.text_classifier(max_iter=5),
+        lambda: classifiers.text_classifier(),
         to_param_map,
         dataset.filter("split = 'train'"),
         dataset.filter("split = 'validation'"),
