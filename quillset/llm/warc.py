@@ -32,7 +32,8 @@ def open_files(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 
 def chunks(pages: DataFrame, key: str = "page_id", html: str = "html", size: int = CHUNK) -> DataFrame:
-    """Rows record, chunk, data, sha1 and length so far, last. A null or empty payload is one empty chunk."""
+    """Rows record, chunk, data, sha1 and length so far, last, and the whole payload's sha1. A null or empty payload is one
+    empty chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,11 +41,11 @@ def chunks(pages: DataFrame, key: str = "page_id", html: str = "html", size: int
             held = 0
             for record, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
                 view = memoryview(payload.as_buffer() or b"")
-                running = hashlib.sha1(usedforsecurity=False)
+                running, whole = hashlib.sha1(usedforsecurity=False), hashlib.sha1(view, usedforsecurity=False).hexdigest()
                 for number in range(max(1, -(-len(view) // size))):
                     data = view[number * size : (number + 1) * size]
                     running.update(data)
-                    rows.append((record, number, bytes(data), running.copy().hexdigest(), min(len(view), (number + 1) * size), (number + 1) * size >= len(view)))
+                    rows.append((record, number, bytes(data), running.copy().hexdigest(), min(len(view), (number + 1) * size), (number + 1) * size >= len(view), whole))
                     held += len(data)
                     if held > 4 << 20:
                         yield batched(rows)
@@ -53,11 +54,11 @@ def chunks(pages: DataFrame, key: str = "page_id", html: str = "html", size: int
                 yield batched(rows)
 
     def batched(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["record", "chunk", "data", "sha1", "length", "last"])
+        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.bool_(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["record", "chunk", "data", "sha1", "length", "last", "payload_sha1"])
 
     rows = pages.select(F.col(key).cast("long").alias("record"), text_of(html).cast("binary").alias("payload"))
-    return rows.mapInArrow(run, "record long, chunk int, data binary, sha1 string, length long, last boolean")
+    return rows.mapInArrow(run, "record long, chunk int, data binary, sha1 string, length long, last boolean, payload_sha1 string")
 
 
 def record_types(parts: DataFrame, least: int = LEAST) -> DataFrame:
@@ -83,19 +84,19 @@ def header(record: int, length: int, sha1: str, refers_to: int | None, uri: str
 
 def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, date: str = DATE) -> DataFrame:
     """Write a record per page to archives under ``path``, which all executors reach, and return their manifest (file,
-    records). Only payloads of responses are shuffled."""
+    records). Payloads are shuffled once, in chunks; of rows that repeat a key the one of the least digest is written."""
     types = materialise(record_types(chunks(pages, key, html), least), "warc-records")
-    uris = pages.select(F.col(key).cast("long").alias("record"), F.col(url).cast("string").alias("uri")).dropDuplicates(["record"])
-    heads = types.dropDuplicates(["record"]).join(uris, "record").withColumn("chunk", F.lit(-1)).withColumn("data", F.lit(None).cast("binary"))
-    revisits = types.filter("refers_to IS NOT NULL").select("record")
-    bodies = chunks(pages.dropDuplicates([key]), key, html).join(revisits, "record", "left_anti").select("record", "chunk", "data")
+    uris = pages.select(F.col(key).cast("long").alias("record"), F.col(url).cast("string").alias("uri")).groupBy("record").agg(F.min("uri").alias("uri"))
+    heads = types.groupBy("record").agg(F.min(F.struct("sha1", "length", "refers_to")).alias("of")).select("record", "of.*")
+    heads = heads.join(uris, "record").withColumn("chunk", F.lit(-1)).withColumn("data", F.lit(None).cast("binary"))
+    bodies = chunks(pages, key, html).select("record", "chunk", "data", F.col("payload_sha1").alias("sha1"))
     parts = heads.unionByName(bodies, allowMissingColumns=True)
     parts = parts.repartition("record").sortWithinPartitions("record", "chunk")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = open_files(path)
         name = f"{base}/{uuid.uuid4().hex}.warc.gz"
-        out, member, records = None, None, 0
+        out, member, records, head, due = None, None, 0, None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["chunk"] < 0:
@@ -106,8 +107,10 @@ def write(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", h
                         out.write(member.compress(b"\r\n\r\n") + member.flush())
                     member, records = zlib.compressobj(4, zlib.DEFLATED, 31), records + 1
                     out.write(member.compress(header(row["record"], row["length"], row["sha1"], row["refers_to"], row["uri"], date)))
-                else:
+                    head, due = row, 0
+                elif head["refers_to"] is None and row["sha1"] == head["sha1"] and row["chunk"] == due:
                     out.write(member.compress(row["data"]))
+                    due += 1
         if out is not None:
             out.write(member.compress(b"\r\n\r\n") + member.flush())
             out.close()
