@@ -5,6 +5,9 @@ distance. A random rotation spreads the length of a difference evenly over the c
 d of D coordinates, times D / d, estimates the whole. A candidate whose estimate exceeds the distance of the k-th best so
 far by more than the tested margin is abandoned; the rest read the next block. What is left is scored on the original
 vectors in double precision.
+
+The index is scanned in slices drawn by a hash of the id, each RATIO times as large as all before it. The k-th best of the
+slices before bounds the next, so about RATIO * k candidates a query leave a slice, however many vectors there are.
 """
 
 from __future__ import annotations
@@ -23,12 +26,12 @@ from quillset.session import materialise
 
 #: Vectors that the lists' centres are fitted on, drawn by a hash of the id, and rounds of fitting.
 SAMPLE, ROUNDS, SEED = 20_000, 10, 7
-#: Lists: the root of the number of vectors, in these bounds; share of the lists that a query probes, and the least number.
-LISTS, PROBED, LEAST_PROBED = (1, 4096), 0.75, 24
+#: Vectors of a list in the mean, the most lists; share of the lists that a query probes, and the least number.
+LIST_ROWS, MOST_LISTS, PROBED, LEAST_PROBED = 1024, 4096, 0.75, 24
 #: Dimensions of a block, and the margin of the test: an estimate may exceed the bound by MARGIN / sqrt(d) of itself.
 DIMENSIONS, MARGIN = 16, 2.1
-#: Rows of the sample that give every query its first bound.
-PILOT = 2000
+#: Rows of the sample that give every query its first bound, and the growth of what is scanned from slice to slice.
+PILOT, RATIO = 2000, 4
 #: Rows of a list that are scanned in one task.
 BLOCK = 4096
 
@@ -139,10 +142,10 @@ def search(
         last = np.zeros(len(rows)) if is_query else np.sqrt(np.maximum(0, norm - (rows**2).sum(axis=1)))
         return np.column_stack((rows, last)) @ turn
 
-    count = lists or int(min(max(total**0.5, LISTS[0]), LISTS[1]))
+    count = lists or min(-(-total // LIST_ROWS), MOST_LISTS)
     sent = spark.sparkContext.broadcast(centres_of(lifted(sample, False), count))  # at most 4096 centres
     count = len(sent.value)
-    pilot = spark.sparkContext.broadcast((first_ids, first_rows, lifted(first_rows, False)))
+    pilot = spark.sparkContext.broadcast((first_ids, first_rows, lifted(first_rows, False)))  # at most PILOT rows
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,43 +156,53 @@ def search(
     index = materialise(fine.select("id", "v", "asks").mapInArrow(assign, "id long, v array<double>, asks boolean, list int"), "ann-index")
     held = {r[0]: r[1] for r in index.groupBy("list").count().collect()}  # as many rows as lists
     filled = np.array([held.get(i, 0) for i in range(count)])
-    blocks = np.maximum(1, -(-filled // BLOCK)).astype(np.int64)
     least = max(1, min(count, max(LEAST_PROBED, int(np.ceil(probed * count)))))
+    asking = index.filter("asks").select("id", "v")
+    place = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = matrix(batch.column("v"))
-            if not len(rows):
-                continue
-            turned, (_, _, known) = lifted(rows, True), pilot.value
-            far = (sent.value**2).sum(1)[None, :] - 2 * turned @ sent.value.T
-            bounds = np.full(len(rows), np.inf)
-            if len(known) > k:  # one more than k: the query itself may be among them
-                whole = (turned**2).sum(1)[:, None] + (known**2).sum(1)[None, :] - 2 * turned @ known.T
-                bounds = np.partition(whole, k, axis=1)[:, k]
-            asked, places, parts = [], [], []
-            for at, order in enumerate(np.argsort(far, axis=1)):
-                enough = int(np.searchsorted(np.cumsum(filled[order]), k + 1)) + 1
-                chosen = order[: max(least, enough)]
-                chosen = np.repeat(chosen, np.where(filled[chosen] > 0, blocks[chosen], 0))
-                asked.append(np.full(len(chosen), at))
-                places.append(chosen)
-                runs = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1]))) if len(chosen) else chosen
-                parts.append(np.arange(len(chosen)) - np.repeat(runs, np.diff(np.append(runs, len(chosen)))))
-            asked = np.concatenate(asked)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(parts).astype(np.int32)), batch.column("id").take(pa.array(asked)),
-                    batch.column("v").take(pa.array(asked)), pa.array(bounds[asked]),
-                ],
-                names=["list", "part", "id", "v", "bound"],
-            )
-
-    shape = "list int, part int, id long, v array<double>, bound double"
-    asked = index.filter("asks").select("id", "v").mapInArrow(probe, shape)
-    parts_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("list") + 1)
-    rows = index.select("list", F.pmod(F.xxhash64("id"), parts_of).cast("int").alias("part"), "id", "v", F.lit(None).cast("double").alias("bound"))
-    dealt = rows.unionByName(asked).repartition("list", "part").sortWithinPartitions("list", "part", F.col("bound").isNotNull())
+    def level(low: float, high: float, found: DataFrame) -> DataFrame:
+        """Candidates from the slice of the index between two shares; ``found`` bounds them."""
+        # lists that hold few rows of a small slice are read together
+        width = max(1, int(count * LIST_ROWS / max(1.0, (high - low) * total)))
+        units = np.bincount(np.arange(count) // width, weights=filled * (high - low))
+        blocks = np.maximum(1, np.ceil(units / BLOCK)).astype(np.int64)
+
+        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = matrix(batch.column("v"))
+                if not len(rows):
+                    continue
+                far = (sent.value**2).sum(1)[None, :] - 2 * lifted(rows, True) @ sent.value.T
+                worst = batch.column("worst").to_numpy(zero_copy_only=False)
+                bounds = np.where(np.isnan(worst), np.inf, (rows**2).sum(axis=1) + norm - 2 * worst)
+                asked, places, parts = [], [], []
+                for at, order in enumerate(np.argsort(far, axis=1)):
+                    enough = int(np.searchsorted(np.cumsum(filled[order]), k + 1)) + 1
+                    chosen = order[: max(least, enough)]
+                    chosen = np.unique(chosen[filled[chosen] > 0] // width)
+                    parts += [np.arange(n) for n in blocks[chosen]]
+                    chosen = np.repeat(chosen, blocks[chosen])
+                    asked.append(np.full(len(chosen), at))
+                    places.append(chosen)
+                asked = np.concatenate(asked)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(parts).astype(np.int32)), batch.column("id").take(pa.array(asked)),
+                        batch.column("v").take(pa.array(asked)), pa.array(np.ones(len(asked), dtype=bool)), pa.array(bounds[asked]),
+                    ],
+                    names=["unit", "part", "id", "v", "asks", "bound"],
+                )
+
+        worst = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("worst"))
+        asked = asking.join(worst, F.col("id") == F.col("query_id"), "left").select("id", "v", "worst")
+        asked = asked.mapInArrow(probe, "unit int, part int, id long, v array<double>, asks boolean, bound double")
+        unit = F.floor(F.col("list") / width).cast("int")
+        parts_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), unit + 1)
+        part = F.pmod(F.xxhash64("id"), parts_of).cast("int")
+        rows = index.filter((place >= int(low * (1 << 30))) & (place < int(high * (1 << 30))))
+        rows = rows.select(unit.alias("unit"), part.alias("part"), "id", "v", F.lit(False).alias("asks"), F.lit(0.0).alias("bound"))
+        dealt = rows.unionByName(asked).repartition("unit", "part").sortWithinPartitions("unit", "part", "asks")
+        return dealt.mapInArrow(scan, shape)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def results(ids: list[int], vs: list[np.ndarray], asked: list[tuple[int, np.ndarray, float]]) -> pa.RecordBatch:
@@ -203,12 +216,12 @@ def search(
         def stream() -> Iterator[tuple]:
             for batch in batches:
                 if batch.num_rows:
-                    yield from zip(*(batch.column(c).to_pylist() for c in ("list", "part", "bound", "id")), matrix(batch.column("v")))
+                    yield from zip(*(batch.column(c).to_pylist() for c in ("unit", "part", "asks", "bound", "id")), matrix(batch.column("v")))
 
         for _, group in groupby(stream(), key=lambda r: r[:2]):
             ids, vs, asked = [], [], []
-            for _, _, bound, key_, v in group:
-                if bound is None:
+            for _, _, asks, bound, key_, v in group:
+                if not asks:
                     ids.append(key_)
                     vs.append(v)
                 else:
@@ -232,9 +245,18 @@ def search(
             scores = exact(originals[r], rows[q]) if len(q) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(own[q]), pa.array(keys[r]), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
-    # the rows behind the first bounds are results too, so that a bound never leaves a query with fewer than k
+    def best(found: DataFrame) -> DataFrame:
+        """The k best of each query; a pair found twice has one score, hence one rank."""
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.dense_rank().over(order)).filter(F.col("rank") <= k).dropDuplicates(["query_id", "vec_id"])
+
     shape = "query_id long, vec_id long, score double"
-    found = dealt.mapInArrow(scan, shape).unionByName(index.filter("asks").select("id", "v").mapInArrow(of_pilot, shape))
-    found = found.dropDuplicates(["query_id", "vec_id"])
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    shares = [1.0]
+    while total * shares[0] / RATIO > PILOT:
+        shares.insert(0, shares[0] / RATIO)
+    # the rows behind the first bounds are results too, so that a bound never leaves a query with fewer than k
+    found = best(asking.mapInArrow(of_pilot, shape))
+    for low, high in zip([0.0, *shares], shares):
+        found = materialise(found.drop("rank"), "ann-found")
+        found = best(level(low, high, found).unionByName(found))
+    return found.select("query_id", "rank", "vec_id", "score")
