@@ -33,16 +33,16 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def in_pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``limit`` bytes of ``column``, one row at least."""
+def in_pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``limit`` bytes of ``column`` and at most ``rows`` rows, one row at least."""
     for batch in batches:
-        if batch.num_rows < 2 or batch.column(column).nbytes <= limit:
+        if batch.num_rows <= min(rows, 1) or batch.num_rows <= rows and batch.column(column).nbytes <= limit:
             if batch.num_rows:
                 yield batch
             continue
         begin, held = 0, 0
         for row, size in enumerate(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()):
-            if held and held + size > limit:
+            if row - begin == rows or held and held + size > limit:
                 yield batch.slice(begin, row - begin)
                 begin, held = row, 0
             held += size

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quillset.llm import ann, bpe, dedup, htmltext, jaccard, langid, licenses, mixing, tokencount, warc
+from quillset.llm import ann, bpe, dedup, htmltext, jaccard, langid, licenses, mixing, negatives, quality, runs, tokencount, warc
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -60,6 +60,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(runs.find_runs(runs.with_planted_tails(documents(spark, sf_dir))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -71,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {"op4_exact_dedup": dedup.DEDUP_SQL, "op9_warc": warc.WARC_SQL}
+ORACLES: dict[str, str] = {"op4_exact_dedup": dedup.DEDUP_SQL, "op9_warc": warc.WARC_SQL, "op11_hard_negatives": negatives.NEGATIVES_SQL}
