@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ MARK = "\x01"
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` finds words each with a space in front; ``keyword`` occurs in every match."""
+    """``pattern`` finds words each with a space in front; the words of ``keyword`` occur in every match, in this order."""
 
     label: str
     keyword: str
@@ -43,23 +44,23 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "gpl-1.0": ("general public", "(?:gnu )?general public license(?: version| v)? 1(?: 0)?", "gpl 1 0"),
     "gpl-2.0": ("general public", "(?:gnu )?general public license(?: version| v)? 2(?: 0)?", "gpl 2 0"),
     "gpl-3.0": ("general public", "(?:gnu )?general public license(?: version| v)? 3(?: 0)?", "gpl 3 0"),
-    "lgpl-2.0": ("lesser|library", "(?:gnu )?(?:lesser|library) general public license(?: version| v)? 2(?: 0)?", "lgpl 2 0"),
-    "lgpl-2.1": ("lesser", "(?:gnu )?lesser general public license(?: version| v)? 2 1", "lgpl 2 1"),
-    "lgpl-3.0": ("lesser", "(?:gnu )?lesser general public license(?: version| v)? 3(?: 0)?", "lgpl 3 0"),
+    "lgpl-2.0": ("lesser general|library general", "(?:gnu )?(?:lesser general|library general) public license(?: version| v)? 2(?: 0)?", "lgpl 2 0"),
+    "lgpl-2.1": ("lesser general", "(?:gnu )?lesser general public license(?: version| v)? 2 1", "lgpl 2 1"),
+    "lgpl-3.0": ("lesser general", "(?:gnu )?lesser general public license(?: version| v)? 3(?: 0)?", "lgpl 3 0"),
     "agpl-3.0": ("affero", "(?:gnu )?affero general public license(?: version| v)? 3(?: 0)?", "agpl 3 0"),
-    "gfdl-1.2": ("documentation", "(?:gnu )?free documentation license(?: version| v)? 1 2", "gfdl 1 2"),
-    "gfdl-1.3": ("documentation", "(?:gnu )?free documentation license(?: version| v)? 1 3", "gfdl 1 3"),
-    "bsd-2-clause": ("bsd", "(?:simplified bsd|bsd(?: license)? 2 clause|2 clause bsd|freebsd)", "bsd 2 clause"),
+    "gfdl-1.2": ("documentation license", "(?:gnu )?free documentation license(?: version| v)? 1 2", "gfdl 1 2"),
+    "gfdl-1.3": ("documentation license", "(?:gnu )?free documentation license(?: version| v)? 1 3", "gfdl 1 3"),
+    "bsd-2-clause": ("bsd", "(?:simplified bsd|bsd(?: license)? 2 clause|2 clause bsd)", "bsd 2 clause"),
     "bsd-3-clause": ("bsd", "(?:new bsd|modified bsd|revised bsd|bsd(?: license)? 3 clause|3 clause bsd)", "bsd 3 clause"),
     "bsd-4-clause": ("bsd", "(?:original bsd|bsd(?: license)? 4 clause|4 clause bsd)", "bsd 4 clause"),
     "mpl-1.1": ("mozilla", "mozilla public license(?: version| v)? 1 1", "mpl 1 1"),
     "mpl-2.0": ("mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", "mpl 2 0"),
     "epl-1.0": ("eclipse", "eclipse public license(?: version| v)? 1(?: 0)?", "epl 1 0"),
     "epl-2.0": ("eclipse", "eclipse public license(?: version| v)? 2(?: 0)?", "epl 2 0"),
-    "cddl-1.0": ("distribution", "common development and distribution license(?: version| v)? 1(?: 0)?", "cddl 1 0"),
+    "cddl-1.0": ("distribution license", "common development and distribution license(?: version| v)? 1(?: 0)?", "cddl 1 0"),
     "cpl-1.0": ("common public", "common public license(?: version| v)? 1(?: 0)?", "cpl 1 0"),
-    "artistic-1.0": ("artistic", "artistic license(?: version| v)? 1(?: 0)?", "artistic 1 0"),
-    "artistic-2.0": ("artistic", "artistic license(?: version| v)? 2(?: 0)?", "artistic 2 0"),
+    "artistic-1.0": ("artistic license", "artistic license(?: version| v)? 1(?: 0)?", "artistic 1 0"),
+    "artistic-2.0": ("artistic license", "artistic license(?: version| v)? 2(?: 0)?", "artistic 2 0"),
     "isc": ("isc", "isc", "isc"),
     "zlib": ("zlib", "zlib", "zlib"),
     "bsl-1.0": ("boost", "boost software license(?: version| v)? 1(?: 0)?", "bsl 1 0"),
@@ -83,6 +84,103 @@ FORMS: list[tuple[str, str, str, int, float]] = [
 ]
 
 
+#: Sentences of license texts and of notices in files: label, a word that each match has, the words. Public texts.
+TEXTS: list[tuple[str, str, str]] = [
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "merchantability", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
+    ("mit-0", "sublicense", "deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided"),
+    ("x11", "consortium", "the name of the x consortium shall not be used in advertising"),
+    ("isc", "hereby", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("hpnd", "hereby", "permission to use copy modify and distribute this software and its documentation for any purpose (?:and )?without fee is hereby granted"),
+    ("postgresql", "hereby", "without a written agreement is hereby granted provided that the above copyright notice"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-2-clause", "freebsd", "(?:the )?freebsd(?: project)?(?: copyright)? license"),
+    ("bsd-3-clause", "endorse", "neither the name of (?:\\S+ ){1,12}may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "acknowledgement", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd", "implied warranties", "this software is provided by the (?:copyright holders|regents|authors?)(?: and contributors)? as is and any express or implied warranties"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
+    ("zlib", "plainly", "altered source versions must be plainly marked as such"),
+    ("bsl-1.0", "boost", "boost software license version 1 0 august 17th 2003"),
+    ("bsl-1.0", "hereby", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "unlicense", "for more information please refer to (?:https?|http) unlicense org"),
+    ("wtfpl", "fuck", "do what the fuck you want to public license"),
+    ("cc0-1.0", "cc0", "creative commons (?:legal code )?cc0 1 0 universal"),
+    ("cc0-1.0", "neighboring", "has waived all copyright and related or neighboring rights"),
+    ("public-domain", "public domain", "(?:is|are|been) (?:hereby )?(?:released|placed|dedicated) (?:in|into|to) the public domain"),
+    ("apache-2.0", "compliance", "you may not use this file except in compliance with the license"),
+    ("apache-2.0", "apache", "you may obtain a copy of the license at https? www apache org licenses license 2 0"),
+    ("apache-2.0", "apache", "apache license version 2 0 january 2004"),
+    ("apache-2.0", "apache", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache-2.0", "warranties or conditions", "distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-1.1", "apache", "the apache software license version 1 1"),
+    ("apache-1.1", "apache", "products derived from this software may not be called apache"),
+    ("gpl", "gnu general", "(?:this program is free software )?you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl-2.0-or-later", "gnu general", "gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3.0-or-later", "gnu general", "gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("gpl-2.0", "gnu general", "gnu general public license version 2 as published by the free software foundation"),
+    ("gpl-3.0", "gnu general", "gnu general public license version 3 as published by the free software foundation"),
+    ("gpl-1.0", "gnu general", "gnu general public license version 1 february 1989"),
+    ("gpl-2.0", "gnu general", "gnu general public license version 2 june 1991"),
+    ("gpl-3.0", "gnu general", "gnu general public license version 3 29 june 2007"),
+    ("gpl", "gnu general", "you should have received a copy of the gnu general public license along with"),
+    ("gpl", "verbatim copies", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("lgpl-2.0", "gnu library", "gnu library general public license version 2 june 1991"),
+    ("lgpl-2.1", "gnu lesser", "gnu lesser general public license version 2 1 february 1999"),
+    ("lgpl-3.0", "gnu lesser", "gnu lesser general public license version 3 29 june 2007"),
+    ("lgpl", "gnu lesser", "under the terms of the gnu lesser general public license"),
+    ("lgpl", "gnu library", "under the terms of the gnu library general public license"),
+    ("lgpl", "gnu lesser", "you should have received a copy of the gnu lesser general public license along with"),
+    ("agpl-3.0", "affero", "gnu affero general public license version 3 19 november 2007"),
+    ("agpl", "affero", "under the terms of the gnu affero general public license"),
+    ("agpl", "affero", "you should have received a copy of the gnu affero general public license along with"),
+    ("gfdl", "documentation license", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", "mozilla", "mozilla public license version 2 0"),
+    ("mpl-2.0", "mozilla", "you can obtain one at https? mozilla org mpl 2 0"),
+    ("epl-1.0", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2.0", "accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("epl", "eclipse", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cddl-1.0", "distribution license", "subject to the terms of the common development and distribution license"),
+    ("cpl-1.0", "common public", "the accompanying program is provided under the terms of this common public license"),
+    ("artistic-2.0", "artistic", "the artistic license 2 0"),
+    ("artistic", "semblance", "the copyright holder maintains some semblance of artistic control"),
+    ("artistic", "artistic", "under the same terms as perl itself(?: or the artistic license)?"),
+    ("python-2.0", "python", "python software foundation license version 2"),
+    ("python-2.0", "psf", "this license agreement is between the python software foundation psf"),
+    ("ofl-1.1", "font software", "this font software is licensed under the sil open font license version 1 1"),
+    ("ofl-1.1", "open font", "sil open font license version 1 1 26 february 2007"),
+    ("eupl-1.2", "eupl", "licensed under the eupl(?: version| v)? 1 2"),
+    ("eupl-1.1", "eupl", "licensed under the eupl(?: version| v)? 1 1"),
+    ("ms-pl", "microsoft", "microsoft public license(?: ms pl)?"),
+    ("ms-rl", "microsoft", "microsoft reciprocal license(?: ms rl)?"),
+    ("ncsa", "illinois", "university of illinois(?: ncsa)? open source license"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project"),
+    ("php-3.01", "php", "subject to version 3 01 of the php license"),
+    ("json", "evil", "the software shall be used for good not evil"),
+    ("beerware", "beer", "you think this stuff is worth it you can buy me a beer"),
+    ("blueoak-1.0.0", "blue oak", "blue oak model license(?: version)? 1 0 0"),
+    ("sspl-1.0", "server side", "server side public license(?: version)? 1"),
+    ("busl-1.1", "business source", "business source license(?: version)? 1 1"),
+    ("elastic-2.0", "elastic license", "elastic license(?: version)? 2 0"),
+    ("cc-by-4.0", "creativecommons", "creativecommons org licenses by 4 0"),
+    ("cc-by-3.0", "creativecommons", "creativecommons org licenses by 3 0"),
+    ("cc-by-sa-4.0", "creativecommons", "creativecommons org licenses by sa 4 0"),
+    ("cc-by-sa-3.0", "creativecommons", "creativecommons org licenses by sa 3 0"),
+    ("cc-by-nc-4.0", "creativecommons", "creativecommons org licenses by nc 4 0"),
+    ("cc-by-nc-sa-4.0", "creativecommons", "creativecommons org licenses by nc sa 4 0"),
+    ("cc-by-nd-4.0", "creativecommons", "creativecommons org licenses by nd 4 0"),
+    ("cc0-1.0", "creativecommons", "creativecommons org publicdomain zero 1 0"),
+    ("proprietary", "confidential and proprietary", "(?:this (?:software|document) is )?(?:the )?confidential and proprietary (?:information|property) of"),
+    ("all-rights-reserved", "rights reserved", "all rights reserved"),
+]
+TEXT_PRIORITY, TEXT_CONFIDENCE = 1, 0.98
+
+
 def creative_commons() -> dict[str, tuple[str, str, str]]:
     """The six licences of each version, from their parts."""
     words = {"by": "attribution", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?", "sa": "share ?alike"}
@@ -96,7 +194,7 @@ def creative_commons() -> dict[str, tuple[str, str, str]]:
 
 
 def rules() -> list[Rule]:
-    """The rules in order of priority: base phrases, then every form with every license."""
+    """The rules in order of priority: base phrases, sentences of texts and notices, then every form with every license."""
     made = [Rule(label, phrase, f" {phrase}", 0, 0.6, base=True) for phrase, label in BASE.items()]
     for label, (keywords, name, identifier) in {**NAMES, **creative_commons()}.items():
         for before, after, kind, priority, confidence in FORMS:
@@ -105,6 +203,7 @@ def rules() -> list[Rule]:
             made.append(Rule(label, keyword, pattern, priority, confidence))
             if kind == "name":
                 made += [Rule(label, other, pattern, priority, confidence) for other in keywords.split("|")[1:]]
+    made += [Rule(label, word, f" {words}", TEXT_PRIORITY, TEXT_CONFIDENCE) for label, word, words in TEXTS]
     return sorted(made, key=lambda r: r.priority)
 
 
@@ -118,11 +217,34 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def rule_array(chosen: list[Rule]) -> Column:
+    """Rules by keyword, so that a keyword is looked for once: structs of keyword and rules."""
     fields = lambda r: F.struct(
-        F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern + "(?= )").alias("pattern"),
-        F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"), F.lit(r.base).alias("base"),
+        F.lit(r.label).alias("label"), F.lit(r.pattern + "(?= )").alias("pattern"), F.lit(r.priority).alias("priority"),
+        F.lit(r.confidence).alias("confidence"), F.lit(r.base).alias("base"),
     )
-    return F.array(*[fields(r) for r in chosen])
+    keywords = sorted({r.keyword for r in chosen})
+    return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*[fields(r) for r in chosen if r.keyword == k]).alias("rules")) for k in keywords])
+
+
+def may_match(text: Column, chosen: list[Rule]) -> Column:
+    """Whether all words of some rule's keyword may be in the raw text. What stands between them plays no part, so nothing
+    that a rule matches is passed over. A keyword of one short word counts as a whole word only."""
+    keywords = {r.keyword for r in chosen}
+    short = sorted(k for k in keywords if " " not in k and len(k) <= 3)
+    alone = {k for k in keywords if " " not in k and k not in short}
+    # a longer word is found with one that it contains, a phrase with a word of it that counts alone
+    alone = {k for k in alone if not any(o != k and o in k for o in alone)}
+    phrases = sorted({tuple(sorted(k.split(), key=lambda w: (-len(w), w))) for k in keywords if " " in k and not any(a in w for a in alone for w in k.split())})
+
+    def found(low: Column) -> Column:
+        tests = [F.contains(low, F.lit(k)) for k in sorted(alone)]
+        tests += [reduce(Column.__and__, [F.contains(low, F.lit(w)) for w in words]) for words in phrases]
+        if short:
+            inner = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]"
+            tests.append(low.rlike(f"(?<!{inner})(?:{'|'.join(short)})(?!{inner})"))
+        return reduce(Column.__or__, tests, F.lit(False))
+
+    return let(F.lower(text), found)
 
 
 def detections(text: Column, chosen: list[Rule]) -> Column:
@@ -150,11 +272,11 @@ def detections(text: Column, chosen: list[Rule]) -> Column:
         )
 
     def of_text(words: Column) -> Column:
-        needed = F.filter(rule_array(chosen), lambda r: F.contains(words, r["keyword"]))
+        groups = F.filter(rule_array(chosen), lambda g: F.contains(words, F.concat(F.lit(" "), g["keyword"], F.lit(" "))))
+        needed = F.flatten(F.transform(groups, lambda g: g["rules"]))
         return F.array_sort(F.flatten(F.transform(needed, lambda r: of_rule(words, r))))
 
-    gate = F.lower(text).rlike("|".join(sorted({r.keyword for r in chosen if r.keyword not in ("cc", "mit", "isc")} | {r"\bmit\b", r"\bisc\b", r"\bcc\b"})))
-    return F.when(gate, let(normal, of_text))
+    return F.when(may_match(text, chosen), let(normal, of_text))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", chosen: list[Rule] | None = None) -> DataFrame:
