@@ -22,10 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillset.llm.common import in_pieces, text_of, without, worker_state
-
-#: Words whose ids a worker keeps, in each of two generations.
-CACHED_WORDS = 250_000
+from quillset.llm.common import Cache, in_pieces, text_of, without, worker_state
 
 # The white space of the split pattern, as that library's regular expressions define it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -43,25 +40,6 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in prints else next(free)) for b in range(256)]
 
 
-class Words(dict):
-    """word -> bytes of its ids (int32), computed on first use."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute, self.older = compute, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = self.compute(word)
-        if len(self) >= CACHED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-
 class Vocabulary:
     """The tables of one tokenizers file of kind BPE over bytes with word ends."""
 
@@ -86,7 +64,7 @@ class Vocabulary:
         symbols = byte_symbols()
         self.inner = [self.ids[s] for s in symbols]
         self.last = [self.ids[s + self.suffix] for s in symbols]
-        self.words = Words(self.merge)
+        self.words = Cache(self.merge)
 
     def merge(self, word: str) -> bytes:
         """The ids of one word."""

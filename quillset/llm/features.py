@@ -5,10 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from quillset.llm.common import worker_state
+from quillset.llm.common import release_worker_state, worker_state
 from quillset.llm.shingles import word_hashes
 
 SIZE = 4096
+#: Texts whose dense rows are held at once: 8 MB of them, and a copy or two.
+ROWS = 512
 
 
 def _letters() -> np.ndarray:
@@ -46,6 +48,7 @@ def letter_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def word_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Rows for the words of each text and its number of words."""
+    release_worker_state()
     hashes, begins = word_hashes(column)
     cells = (hashes >> np.uint64(52)).astype(np.int64)
     sizes = np.diff(begins)

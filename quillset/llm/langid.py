@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillset.llm.common import in_pieces
-from quillset.llm.features import letter_features
+from quillset.llm.features import ROWS, letter_features
 from quillset.session import materialise
 
 UNDETERMINED = "und"
@@ -63,7 +63,7 @@ def labelled_features(docs: DataFrame, key: str, text: str, lang: str, per_langu
     drawn = learnable.filter(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(1 << 30)) < share[F.col(lang)] * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, "text", 1 << 20):
+        for batch in in_pieces(batches, "text", 1 << 20, ROWS):
             rows, letters = letter_features(batch.column("text").to_pylist())
             has = letters > 0
             flat = pa.ListArray.from_arrays(pa.array(np.arange(int(has.sum()) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows[has].ravel()))
@@ -125,7 +125,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kinds = [f"`{f.name}`: {f.dataType.simpleString()}" for f in kept.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, text):
+        for batch in in_pieces(batches, text, rows=ROWS):
             rows, letters = letter_features(batch.column(text).to_pylist())
             names, scores = np.full(len(rows), UNDETERMINED, dtype=object), np.zeros(len(rows))
             if model.families:
@@ -149,6 +149,14 @@ def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
 
 
 def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language."""
+    """The rows of ``docs``, all columns, whose text has a language; a null ``lang`` becomes the predicted one.
+
+    Rows are chosen one by one, so repeated keys need no care. The columns keep their names and their other values, those
+    named as the predictor's own columns too.
+    """
     model = fit(docs, key, text, lang)
-    return predict(docs, model, text).filter(F.col("lang_pred") != UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c != text}
+    judged = predict(docs.select(*[F.col(f"`{c}`").alias(own.get(c, c)) for c in docs.columns]), model, text)
+    known = F.coalesce(F.col(own[lang]), F.col("lang_pred")) if lang in own else None
+    back = [known.alias(c) if c == lang and known is not None else F.col(own.get(c, c)).alias(c) for c in docs.columns]
+    return judged.filter(F.col("lang_pred") != UNDETERMINED).select(*back)

@@ -11,6 +11,7 @@ these sums alone, so no rates are stored between steps.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,13 +22,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillset.llm.common import in_pieces
-from quillset.llm.features import word_features
-from quillset.session import materialise
+from quillset.llm.common import in_pieces, rows_with_keys
+from quillset.llm.features import ROWS, word_features
+from quillset.session import broadcast_if_small, materialise
 
 #: Labelled texts of each domain, about, that the classifier is fitted on; they are drawn by a hash of the id.
 PER_DOMAIN = 1500
-RIDGE, STEPS, TOLERANCE = 0.001, 30, 0.001
+RIDGE, STEPS, TOLERANCE = 0.001, 60, 0.001
 
 
 def label_domain() -> Column:
@@ -52,11 +53,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, key: str, text: str, per_do
     if len(domains) > 1:
         share = F.create_map(*[F.lit(x) for d in domains for x in (d, min(1.0, per_domain / counts[d]))])
         drawn = labelled.filter(F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(23)), F.lit(1 << 30)) < share[F.col("domain")] * (1 << 30))
-        # at most len(domains) * per_domain rows in the mean, whatever the table's size
-        sample = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(F.broadcast(drawn), "_id").select("domain", "text")
+        # about len(domains) * per_domain rows, counted before they are shipped
+        sample = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(broadcast_if_small(drawn), "_id").select("domain", "text")
 
         def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in in_pieces(batches, "text", 1 << 20):
+            for batch in in_pieces(batches, "text", 1 << 20, ROWS):
                 rows, _ = word_features(batch.column("text"))
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column("domain"), flat], names=["domain", "features"])
@@ -73,7 +74,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, key: str, text: str, per_do
     domains = domains or ["all"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches, "text"):
+        for batch in in_pieces(batches, "text", rows=ROWS):
             rows, words = word_features(batch.column("text"))
             p = np.ones((len(rows), 1))
             if known:
@@ -91,7 +92,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, key: str, text: str, per_do
 def fitted_rates(known: DataFrame, domains: list[str], target: dict[str, float]) -> DataFrame:
     """``known`` (n_tokens, p) with the column rate.
 
-    The mix is as large as the corpus. A target without a domain in the data is left out; if no wanted domain is there, all
+    The mix is as large as the corpus. Targets that the posteriors cannot meet to TOLERANCE give a warning. A target without a domain in the data is left out; if no wanted domain is there, all
     rates are 1.
     """
     size = len(domains)
@@ -104,10 +105,13 @@ def fitted_rates(known: DataFrame, domains: list[str], target: dict[str, float])
     wanted = want / want.sum() * have.sum()
     rate, step = F.lit(1.0), 1 / (1 + RIDGE)
     got = have
-    for _ in range(STEPS):
+    for step_number in range(STEPS + 1):
         slope = np.divide(got - wanted, have, out=np.zeros(size), where=have > 0)
         if np.abs(got - wanted).max() <= TOLERANCE * have.sum():
             break
+        if step_number == STEPS:
+            warnings.warn(f"after {STEPS} steps the mix has {dict(zip(domains, got / have.sum()))} of the corpus, wanted {dict(zip(domains, wanted / have.sum()))}", stacklevel=2)
+            break
         pull = sum((F.col("p")[k] * float(slope[k] * step) for k in range(size)), F.lit(RIDGE * -step))
         rate = F.greatest(F.lit(0.0), rate * (1 - RIDGE * step) - pull)
         sums = known.withColumn("rate", rate).agg(*[F.sum(F.col("n_tokens") * F.col("p")[k] * F.col("rate")) for k in range(size)]).first()
@@ -129,9 +133,9 @@ def mixed(docs: DataFrame, labelled: DataFrame, target: dict[str, float] | None
 
 
 def keep_mixed(docs: DataFrame, labelled: DataFrame, target: dict[str, float] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that one pass over the mix reads: each with probability min(1, rate), drawn by a
-    hash of the key. Keys are unique."""
-    rates = mixed(docs, labelled, target, key, text)
-    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(29)), F.lit(1 << 30)) < F.col("rate") * (1 << 30)
-    kept = rates.filter(drawn).select(F.col(key).alias("_kept_id"))
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("_kept_id")), "left_semi")
+    """The rows of ``docs``, all columns, of a mix that has no document twice: each with its rate as a share of the largest
+    rate, drawn by a hash of the key, so that the kept rows have the mix's proportions. Keys are unique."""
+    rates = materialise(mixed(docs, labelled, target, key, text), "rates")
+    most = rates.agg(F.max("rate")).first()[0] or 1.0
+    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(29)), F.lit(1 << 30)) < F.col("rate") * ((1 << 30) / most)
+    return rows_with_keys(docs, rates.filter(drawn), key)

@@ -17,30 +17,9 @@ import pyarrow.compute  # noqa: F401 - used as pa.compute in the workers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillset.llm.common import in_pieces, text_of, without, worker_state
+from quillset.llm.common import Cache, in_pieces, text_of, without, worker_state
 
 MARK = "▁"
-#: Chunks whose counts a worker keeps, in each of two generations.
-CACHED_CHUNKS = 400_000
-
-
-class Counts(dict):
-    """chunk -> its tokens, computed on first use."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute, self.older = compute, {}
-
-    def __missing__(self, chunk: str) -> int:
-        count = self.older.get(chunk)
-        if count is None:
-            count = self.compute(chunk)
-        if len(self) >= CACHED_CHUNKS:
-            self.older = dict(self)
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = count
-        return count
 
 
 class Pieces:
@@ -65,17 +44,21 @@ class Pieces:
         # that occur in no longer piece.
         within = {c for pair in joined for c in pair}
         marks_end_nothing = not any(b == MARK and a != MARK for a, b in joined)
-        letters_apart = not any(a.isalpha() != b.isalpha() for a, b in joined if MARK not in (a, b))
+        is_letter = re.compile(r"[^\W\d_]").match
+        mixed = {(a, b) for a, b in joined if MARK not in (a, b) and bool(is_letter(a)) != bool(is_letter(b))}
+        # A few pieces may join a letter and another character after all ("²."). If each has a character beyond ASCII,
+        # texts with one of these are cut at marks only; else all are.
+        odd = {next((c for c in pair if not c.isascii()), "") for pair in mixed}
+        letters_apart = "" not in odd
+        self.odd = re.compile("[" + "".join(map(re.escape, sorted(odd))) + "]") if odd and letters_apart else None
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in within and chr(c) != " ")
         alone_class = f"[{alone}]|" if alone else ""
         alone_not = alone.replace("\\\n", "\\n")
-        if not marks_end_nothing:
-            self.chunk = re.compile(r"[\s\S]+")
-        elif letters_apart:
+        at_marks = re.compile(rf"{alone_class}{MARK}*[^{MARK}{alone_not}]+|{MARK}+") if marks_end_nothing else re.compile(r"[\s\S]+")
+        self.chunk = self.long_chunk = at_marks
+        if marks_end_nothing and letters_apart:
             self.chunk = re.compile(rf"{alone_class}{MARK}*[^\W\d_]+|{MARK}*(?:(?![^\W\d_])[^{MARK}{alone_not}])+|{MARK}+")
-        else:
-            self.chunk = re.compile(rf"{alone_class}{MARK}*[^{MARK}{alone_not}]+|{MARK}+")
-        self.counts = Counts(self.merge)
+        self.counts = Cache(self.merge, 32 << 20)
 
     def merge(self, chunk: str) -> int:
         """Tokens of one chunk."""
@@ -109,7 +92,8 @@ class Pieces:
     def count(self, text: str) -> int:
         if not text:
             return 0
-        return sum(map(self.counts.__getitem__, self.chunk.findall(MARK + text.replace(" ", MARK))))
+        chunk = self.long_chunk if self.odd and self.odd.search(text) else self.chunk
+        return sum(map(self.counts.__getitem__, chunk.findall(MARK + text.replace(" ", MARK))))
 
 
 def pieces(path: str) -> Pieces:
