@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillset.llm.common import text_of
+from quillset.llm.common import rows_with_keys, text_of
 from quillset.session import materialise, scratch_path
 
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -27,7 +28,8 @@ class DigestIndex:
     """A bucketed table of digests under a folder, known to the session's catalog under a name of its own.
 
     ``open`` on a folder that holds an index takes it up again, in a new session too. The number of buckets is fixed when
-    the index is made; choose it for the size the index will reach (a bucket of some hundred MB).
+    the index is made and kept beside it, whatever a later ``open`` asks for; choose it for the size the index will reach (a
+    bucket of some hundred MB).
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
@@ -40,6 +42,12 @@ class DigestIndex:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, buckets: int) -> DigestIndex:
+        path = path.rstrip("/")
+        noted = f"{path}-buckets"
+        try:
+            buckets = spark.read.schema("buckets int").json(noted).first()[0]
+        except AnalysisException:  # no such folder: a new index
+            spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.json(noted)
         return cls(spark, path, buckets)
 
     def table(self) -> DataFrame:
@@ -95,8 +103,7 @@ def new_index(spark: SparkSession, buckets: int | None = None) -> DigestIndex:
 
 def keep_first(docs: DataFrame, index: DigestIndex, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text is kept; keys are unique."""
-    kept = exact_dedup(docs, index, key, text, keep_new_only=True).select(F.col(key).alias("_kept_id"))
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("_kept_id")), "left_semi")
+    return rows_with_keys(docs, exact_dedup(docs, index, key, text, keep_new_only=True), key)
 
 
 DEDUP_SQL = r"""

@@ -27,7 +27,7 @@ import pyarrow.compute  # noqa: F401 - used as pa.compute in the workers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillset.llm.common import in_pieces
+from quillset.llm.common import in_pieces, rows_with_keys
 from quillset.llm.shingles import shingle_sets
 from quillset.session import broadcast_if_small, materialise
 
@@ -406,5 +406,5 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose document has the smallest key of its component; keys are unique."""
-    kept = jaccard_components(docs, key, text).filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept_id"))
-    return docs.join(kept, F.col(key) == F.col("_kept_id"), "left_semi")
+    kept = jaccard_components(docs, key, text).filter(F.col(key) == F.col("component_id"))
+    return rows_with_keys(docs, kept, key)

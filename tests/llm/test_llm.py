@@ -59,6 +59,19 @@ def test_token_counts_agree_with_the_library(docs, empty):
     assert tokencount.sized(empty, PIECE_BPE).count() == 0
 
 
+def test_token_counts_of_pieces_side_by_side():
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    tables = tokencount.Pieces(PIECE_BPE)
+    pieces = [library.id_to_piece(i).replace("▁", " ") for i in range(library.get_piece_size())]
+    mixed = [p for p in pieces if not p.strip().isalpha()]
+    signs = [*" .,;:!?²³½¼Ⅷ①m-_/()'\"\n\t01aé日"]
+    draw = random.Random(2)
+    assert tables.count("an area of 10 m².") == len(library.encode("an area of 10 m².")) == 8
+    for _ in range(20_000):
+        text = "".join(draw.choice([draw.choice(pieces), draw.choice(mixed), draw.choice(signs), draw.choice(signs)]) for _ in range(draw.randrange(1, 12)))
+        assert tables.count(text) == len(library.encode(text)), text
+
+
 def components(texts):
     """doc -> (size of its set, smallest doc reachable), by brute force."""
     sets, parent = {}, {i: i for i in texts}
@@ -128,7 +141,8 @@ def test_exact_dedup_and_a_second_batch(spark, docs, empty, tmp_path):
         assert (found[i].keep_id, found[i].group_size, found[i].kept) == (min(same), len(same), i == min(same))
         assert found[i].text_sha256 == hashlib.sha256(text.encode()).hexdigest()
     index.close()
-    later = dedup.DigestIndex.open(spark, str(tmp_path / "index"), 4)  # taken up again
+    later = dedup.DigestIndex.open(spark, str(tmp_path / "index"), 8)  # taken up again, with its own number of buckets
+    assert later.buckets == 4
     assert later.table().count() == len(set(texts.values()))
     batch = spark.createDataFrame([(100, "a  b"), (101, "new"), (102, "new")], "doc_id long, text string")
     assert {(r.doc_id, r.keep_id, r.kept) for r in dedup.exact_dedup(batch, later).collect()} == {(100, 20, False), (101, 101, True), (102, 101, False)}
@@ -151,6 +165,21 @@ def test_mixing_meets_its_targets(spark, empty):
     assert np.allclose(np.array(sums) / sum(sums), [target[d] for d in domains], atol=0.02)
     truth = {i: k for i, _, k in rows}
     assert sum(r.domain == truth.get(r.doc_id, r.domain) for r in found.collect()) > 390
+    # against a dense solve of the same least squares by many steps of the same projection
+    table = known.collect()
+    n, p = np.array([r.n_tokens for r in table], dtype=float), np.array([r.p for r in table])
+    have = (n[:, None] * p).sum(axis=0)
+    want = np.array([target[d] for d in domains]) * have.sum()
+    r = np.ones(len(n))
+    for _ in range(3000):
+        got = (n[:, None] * p * r[:, None]).sum(axis=0)
+        r = np.maximum(0, r - (p @ ((got - want) / have) + mixing.RIDGE * (r - 1)) / (1 + mixing.RIDGE))
+    exact = (n[:, None] * p * r[:, None]).sum(axis=0)
+    assert np.allclose(exact / exact.sum(), np.array(sums) / sum(sums), atol=0.005)
+    kept = mixing.keep_mixed(docs.withColumn("rate", F.lit("mine")).withColumn("kept_0", F.lit(1)), labels, target)
+    assert kept.columns == ["doc_id", "text", "rate", "kept_0"] and 0 < kept.count() < 402
+    again = docs.union(docs.filter("doc_id < 5"))
+    assert mixing.mixed(again, labels, target).count() == 407
     assert mixing.mixed(empty, labels).count() == 0
     assert {r.rate for r in mixing.mixed(docs, labels.limit(0)).collect()} == {1.0}
 
@@ -203,6 +232,16 @@ def test_search_finds_the_nearest(spark):
 
 def test_license_report(docs, spark):
     odd = ["MIT License mit license, MIT\tLICENSE! x", "SPDX-License-Identifier: GPL-2.0-or-later", "é mit licenseé", "mit license\u0001 apache license"]
+    breaks = ["GNU General\nPublic License", "GENERAL  PUBLIC  LICENSE", "general-public-license", "see mit_license for details", "Apache\r\n\tLicense", "x_apache_license_", "mit  -  license"]
+    known = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software)",
+        "bsd": "Redistribution and use in source and binary forms, with or without\n modification, are permitted provided that",
+        "apache-2.0": "you may not use this file except in compliance with the License.",
+        "gpl-3.0": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007",
+        "lgpl-2.1": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        "bsd-2-clause": "the FreeBSD license",
+    }
+    odd = [*odd, *breaks, *known.values()]
     texts = {**dict(enumerate(TEXTS)), **{100 + i: t for i, t in enumerate([*odd, "Released under the Apache License, Version 2.0. " * 40])}}
     rows = licenses.license_report(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()
     for r in rows:
@@ -213,7 +252,15 @@ def test_license_report(docs, spark):
         assert (r.first_word, r.last_word) == ((min(places)[0], max(places)[0]) if places else (None, None))
         assert r.base_labels == ",".join(sorted({label for _, label in places})) and 0 <= r.score <= 1
     found = {r.doc_id: r.labels for r in rows}
-    assert (found[101], found[104], found[0]) == ("gpl-2.0", "apache,apache-2.0", "")
+    assert (found[101], found[100 + len(odd)], found[0]) == ("gpl-2.0", "apache,apache-2.0", "")
+    assert all(r.n_base == 1 for r in rows if 104 <= r.doc_id < 104 + len(breaks))
+    for i, label in enumerate(known, 104 + len(breaks)):
+        assert label in found[i].split(",")
+    table = spark.createDataFrame([(1, "mit license", "x"), (1, "mit license", "x")], "doc_id long, text string, labels string")
+    assert [r.labels for r in licenses.license_report(table).collect()] == ["mit", "mit"] and licenses.license_report(table.limit(0)).count() == 0
+    # every keyword's words stand in the rule's own pattern, so the search for keywords loses nothing
+    for rule in licenses.rules():
+        assert re.search(rf"(?<![a-z0-9]){rule.keyword}(?![a-z0-9])", rule.pattern.replace("\\S", ""))
     assert len(licenses.rules()) > 200
 
 
@@ -245,7 +292,10 @@ def test_language_id(spark, docs, empty):
     assert found[900].lang_pred == found[901].lang_pred == "und" and all(0 <= r.score <= 1 for r in found.values())
     assert {r.lang_pred for r in langid.identified(docs).collect()} == {"en", "und"}
     assert langid.identified(empty).count() == 0
-    assert langid.keep_identified(table).columns == table.columns
+    clash = table.withColumn("score", F.lit("mine")).withColumn("lang_pred", F.lit("own"))
+    kept = langid.keep_identified(clash)
+    assert kept.columns == clash.columns and {(r.score, r.lang_pred) for r in kept.collect()} == {("mine", "own")}
+    assert kept.filter("lang IS NULL").count() == 0 and kept.count() == 300  # an unknown language becomes the predicted one
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir):
