@@ -9,6 +9,10 @@ from quillset.llm.queries import WORD_BPE
 from quillset.session import materialise
 
 
+#: Shares of tokens in the mix. Below the corpus' own shares of poor and toxic text, so that good documents set the pace.
+MIX = {"good": 0.95, "poor": 0.045, "toxic": 0.005}
+
+
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without a language go."""
     return langid.keep_identified(docs)
@@ -25,9 +29,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing to target weights: one pass over the mix."""
+    """Mixing to target weights: the largest mix without repeats in which poor and toxic documents have little weight."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", mixing.label_domain().alias("domain"))
-    return mixing.keep_mixed(docs, labels)
+    return mixing.keep_mixed(docs, labels, MIX)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
