@@ -7,6 +7,8 @@ of higher priority wins. Base phrases are rules whose detections always stay.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from quillset.llm.common import text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+#: What stands between words, before and after A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MARK = "\x01"
 
@@ -80,7 +83,7 @@ FORMS: list[tuple[str, str, str, int, float]] = [
     ("license(?:d)?(?: is| type)? ", "", "id", 4, 0.8),
     ("(?:the )?", " license", "name", 5, 0.75),
     ("opensource org licenses ", "", "id", 2, 0.9),
-    ("(?:see|read) (?:the )?", " (?:license|licence)(?: file| text)?", "name", 6, 0.7),
+    ("(?:see|read) (?:the )?", " licen(?:s|c)e(?: file| text)?", "name", 6, 0.7),
 ]
 
 
@@ -211,32 +214,45 @@ def words_in(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def word_count(text: Column) -> Column:
+    """Words of a raw text, without an array of them."""
+    spaced = F.trim(F.regexp_replace(text, BETWEEN, " "))
+    return let(spaced, lambda words: F.when(words == "", F.lit(0)).otherwise(words_in(words) + 1)).cast("long")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once per row however often ``body`` names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+RULES_SCHEMA = "array<struct<keyword:string,rules:array<struct<label:string,pattern:string,priority:int,confidence:double,base:boolean>>>>"
+
+
 def rule_array(chosen: list[Rule]) -> Column:
-    """Rules by keyword, so that a keyword is looked for once: structs of keyword and rules."""
-    fields = lambda r: F.struct(
-        F.lit(r.label).alias("label"), F.lit(r.pattern + "(?= )").alias("pattern"), F.lit(r.priority).alias("priority"),
-        F.lit(r.confidence).alias("confidence"), F.lit(r.base).alias("base"),
-    )
-    keywords = sorted({r.keyword for r in chosen})
-    return F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*[fields(r) for r in chosen if r.keyword == k]).alias("rules")) for k in keywords])
+    """Rules by keyword, so that a keyword is looked for once: structs of keyword and rules. One constant for the plan."""
+    fields = lambda r: {"label": r.label, "pattern": r.pattern + "(?= )", "priority": r.priority, "confidence": r.confidence, "base": r.base}
+    groups = [{"keyword": k, "rules": [fields(r) for r in chosen if r.keyword == k]} for k in sorted({r.keyword for r in chosen})]
+    return F.from_json(F.lit(json.dumps(groups)), RULES_SCHEMA)
 
 
-def may_match(text: Column, chosen: list[Rule]) -> Column:
-    """Whether all words of some rule's keyword may be in the raw text. What stands between them plays no part, so nothing
-    that a rule matches is passed over. A keyword of one short word counts as a whole word only."""
-    keywords = {r.keyword for r in chosen}
-    short = sorted(k for k in keywords if " " not in k and len(k) <= 3)
-    alone = {k for k in keywords if " " not in k and k not in short}
-    # a longer word is found with one that it contains, a phrase with a word of it that counts alone
-    alone = {k for k in alone if not any(o != k and o in k for o in alone)}
-    phrases = sorted({tuple(sorted(k.split(), key=lambda w: (-len(w), w))) for k in keywords if " " in k and not any(a in w for a in alone for w in k.split())})
+def outside_groups(pattern: str) -> str:
+    """What every match of the pattern contains, whatever its groups add."""
+    while (less := re.sub(r"\(\?:[^()]*\)(?:[?*+]|\{[^}]*\})?", "\n", pattern)) != pattern:
+        pattern = less
+    return pattern
 
-    def found(low: Column) -> Column:
+
+def may_match(text: Column, chosen: list[Rule]) -> Column:
+    """Whether the raw text has the words that some rule needs. What stands between words plays no part, so nothing that a
+    rule matches is passed over. A rule needs "licen" or "under" where every match of it has them; else, and besides
+    "under", the words of its keyword. A keyword of one short word counts as a whole word only."""
+
+    def any_keyword(low: Column, keywords: set[str]) -> Column:
+        short = sorted(k for k in keywords if " " not in k and len(k) <= 3)
+        alone = {k for k in keywords if " " not in k and k not in short}
+        # a longer word is found with one that it contains, a phrase with a word of it that counts alone
+        alone = {k for k in alone if not any(o != k and o in k for o in alone)}
+        phrases = sorted({tuple(sorted(k.split(), key=lambda w: (-len(w), w))) for k in keywords if " " in k and not any(a in w for a in alone for w in k.split())})
         tests = [F.contains(low, F.lit(k)) for k in sorted(alone)]
         tests += [reduce(Column.__and__, [F.contains(low, F.lit(w)) for w in words]) for words in phrases]
         if short:
@@ -244,6 +260,15 @@ def may_match(text: Column, chosen: list[Rule]) -> Column:
             tests.append(low.rlike(f"(?<!{inner})(?:{'|'.join(short)})(?!{inner})"))
         return reduce(Column.__or__, tests, F.lit(False))
 
+    always = {r: outside_groups(r.pattern) for r in chosen}
+    rest = [r for r in chosen if "licen" not in always[r]]
+    under = {r.keyword for r in rest if " under " in always[r]}
+    other = {r.keyword for r in rest if " under " not in always[r]}
+
+    def found(low: Column) -> Column:
+        some = any_keyword(low, other) | (F.contains(low, F.lit("under")) & any_keyword(low, under))
+        return (F.contains(low, F.lit("licen")) | some) if len(rest) < len(chosen) else some
+
     return let(F.lower(text), found)
 
 
@@ -282,7 +307,7 @@ def detections(text: Column, chosen: list[Rule]) -> Column:
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", chosen: list[Rule] | None = None) -> DataFrame:
     """Per document: key, n_words, detections (array of structs, see ``detections``; null if no keyword occurs)."""
     body = text_of(text)
-    return docs.select(key, F.regexp_count(body, F.lit(WORD)).cast("long").alias("n_words"), detections(body, rules() if chosen is None else chosen).alias("found"))
+    return docs.select(key, word_count(body).alias("n_words"), detections(body, rules() if chosen is None else chosen).alias("found"))
 
 
 def license_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
