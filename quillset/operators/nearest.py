@@ -5,29 +5,26 @@ the best ``k`` items per query leave the task. Pairs are never written out.
 
 * ``knn_exact`` with few queries ships them to the tasks that scan the items: no shuffle of vectors. With many
   queries both sides are cut into blocks of bounded size.
-* ``build_index`` / ``search`` use a forest of random hyperplanes. A leaf that is too full is cut deeper, vectors
-  that are exact copies are indexed once, and a leaf that stays large (near copies) is processed in blocks.
+
+Approximate search over a written index is in ``forest``; it uses the same kernel.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillset.operators.ranks import top_k_per_query
-from quillset.session import broadcast_if_small, fits_broadcast, materialise, scratch_path
+from quillset.session import broadcast_if_small, fits_broadcast, materialise
 
 QUERY_BLOCK = 1024
 ITEM_BLOCK = 8192
 DISTANCE_DIGITS = 6  # equal vectors must tie whatever the order of additions, so distances are rounded
-MAX_BITS = 48
 
 _HITS = "query_id bigint, item_id bigint, distance double"
 
@@ -152,7 +149,7 @@ def block_top_k(
 
     sizes = blocks(queries, query_block, "_nq").join(blocks(items, item_block, "_ni"), groups)
     # one row per group; shipped when few, so that a crowded group is not gathered by its key before it is cut
-    sizes = broadcast_if_small(sizes)
+    sizes = broadcast_if_small(materialise(sizes, "block-sizes"))
 
     def spread(side: DataFrame, vectors: DataFrame, key: str, own: str, own_count: str, other: str, other_count: str):
         place = F.pmod(F.xxhash64(key), F.col(own_count)).cast("int").alias(own)
@@ -177,195 +174,6 @@ def block_top_k(
     return left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(nearest, _HITS)
 
 
-# ---------------------------------------------------------------- index
-
-
-def hyperplanes(dim: int, n_trees: int, seed: int) -> np.ndarray:
-    """Normal vectors, (trees, levels, dim). Size depends on the parameters only."""
-    return np.random.default_rng(seed).standard_normal((n_trees, MAX_BITS, dim)).astype(np.float32)
-
-
-def _coded(df: DataFrame, planes: np.ndarray, margins: bool = False) -> DataFrame:
-    """Add a code per tree, a hash of the vector, and on request the bits of each code by rising margin.
-
-    The hash is 128 bits wide and stands for the whole vector from here on, so that vectors need not move.
-    """
-    shipped = df.sparkSession.sparkContext.broadcast(planes)
-    weights = (1 << np.arange(MAX_BITS - 1, -1, -1)).astype(np.int64)  # level 0 is the highest bit
-
-    def sides(vectors: pa.Array) -> np.ndarray:
-        trees, levels, dim = shipped.value.shape
-        flat = shipped.value.reshape(trees * levels, dim).astype(np.float64)
-        return (_matrix(vectors) @ flat.T).reshape(len(vectors), trees, levels)
-
-    @F.arrow_udf("array<bigint>")
-    def code_of(vectors: pa.Array) -> pa.Array:
-        values = ((sides(vectors) > 0) * weights).sum(axis=2)
-        offsets = np.arange(len(vectors) + 1, dtype=np.int32) * values.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), pa.int64()))
-
-    @F.arrow_udf("array<array<tinyint>>")
-    def bit_order(vectors: pa.Array) -> pa.Array:
-        order = np.argsort(np.abs(sides(vectors)), axis=2, kind="stable").astype(np.int8)
-        rows, trees, levels = order.shape
-        inner_offsets = np.arange(rows * trees + 1, dtype=np.int32) * levels
-        inner = pa.ListArray.from_arrays(pa.array(inner_offsets), pa.array(order.ravel(), pa.int8()))
-        return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * trees), inner)
-
-    coded = df.withColumn("codes", code_of("vector")).withColumn("h1", F.xxhash64("vector"))
-    coded = coded.withColumn("h2", F.xxhash64(F.lit(1), "vector"))
-    return coded.withColumn("bit_order", bit_order("vector")) if margins else coded
-
-
-def _leaf(code: Column, depth: Column) -> Column:
-    """Leaf name: the first ``depth`` bits of the code, with the depth so that leaves of two depths differ."""
-    prefix = F.call_function("shiftright", code, F.lit(MAX_BITS) - depth)
-    return F.call_function("shiftleft", depth.cast("bigint"), F.lit(MAX_BITS)).bitwiseOR(prefix)
-
-
-def build_index(
-    items: DataFrame,
-    n_trees: int = 10,
-    leaf_size: int = 128,
-    bits: int | None = None,
-    seed: int = 42,
-    path: str | None = None,
-) -> dict[str, DataFrame]:
-    """Forest of random hyperplanes over (item_id, vector), written under ``path`` or the shared folder.
-
-    Tables: ``planes`` (tree, level, plane), ``items`` (item_id, vector, codes, h1, h2), ``copies`` (rep, item_id) with
-    the smallest id of equal vectors as their rep, ``leaves`` (tree, prefix, depth) for prefixes cut deeper than
-    ``bits``, ``postings`` (tree, leaf, item_id) of the reps. The depth starts at ``bits``, by default the depth at
-    which an even spread gives ``leaf_size`` items per leaf. Vectors are read once and never shuffled.
-    """
-    spark = items.sparkSession
-    path = path or scratch_path(spark, "index")
-    head = items.select(F.size("vector").alias("d")).head()
-    if head is None:
-        raise ValueError("no items to index")
-    planes = hyperplanes(head["d"], n_trees, seed)
-    _coded(items.select("item_id", "vector"), planes).write.parquet(f"{path}/items")
-    stored = spark.read.parquet(f"{path}/items")
-
-    grouped = stored.groupBy("h1", "h2", "codes").agg(F.min("item_id").alias("rep"))
-    reps = materialise(grouped, "reps")
-    members = stored.select("item_id", "h1", "h2").join(reps.select("h1", "h2", "rep"), ["h1", "h2"])
-    members.select("rep", "item_id").write.parquet(f"{path}/copies")
-    if bits is None:
-        bits = max(1, math.ceil(math.log2(max(2, reps.count() / leaf_size))))
-
-    per_tree = reps.select(F.col("rep").alias("item_id"), F.posexplode("codes").alias("tree", "code"))
-    per_tree = per_tree.withColumn("prefix", _leaf(F.col("code"), F.lit(bits)))
-    deeper = F.least(F.lit(bits) + F.ceil(F.log2(F.col("n") / F.lit(leaf_size))), F.lit(MAX_BITS)).cast("int")
-    crowded = per_tree.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 4 * leaf_size)
-    crowded.select("tree", "prefix", deeper.alias("depth")).write.parquet(f"{path}/leaves")
-    leaves = spark.read.schema("tree int, prefix bigint, depth int").parquet(f"{path}/leaves")
-
-    placed = per_tree.join(broadcast_if_small(leaves), ["tree", "prefix"], "left")
-    leaf = _leaf(F.col("code"), F.coalesce("depth", F.lit(bits)))
-    placed.select("tree", leaf.alias("leaf"), "item_id").write.partitionBy("tree").parquet(f"{path}/postings")
-
-    rows = [(t, level, planes[t, level].tolist(), bits) for t in range(n_trees) for level in range(MAX_BITS)]
-    schema = "tree int, level int, plane array<float>, bits int"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/planes")
-    return open_index(spark, path)
-
-
-INDEX_TABLES = {
-    "planes": "level int, plane array<float>, bits int, tree int",
-    "items": "item_id bigint, vector array<float>, codes array<bigint>, h1 bigint, h2 bigint",
-    "copies": "rep bigint, item_id bigint",
-    "leaves": "tree int, prefix bigint, depth int",
-    "postings": "leaf bigint, item_id bigint, tree int",
-}
-
-
-def open_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of an index written before."""
-    return {name: spark.read.schema(schema).parquet(f"{path}/{name}") for name, schema in INDEX_TABLES.items()}
-
-
-def _planes_of(index: dict[str, DataFrame]) -> tuple[np.ndarray, int]:
-    rows = index["planes"].orderBy("tree", "level").collect()  # trees x levels rows
-    trees = rows[-1]["tree"] + 1
-    return np.array([r["plane"] for r in rows], dtype=np.float32).reshape(trees, MAX_BITS, -1), rows[0]["bits"]
-
-
-def _probes(index: dict[str, DataFrame], coded: DataFrame, bits: int, extra_probes: int) -> DataFrame:
-    per_tree = coded.select("query_id", F.posexplode(F.arrays_zip("codes", "bit_order")).alias("tree", "c"))
-
-    def flips(code: Column, order: Column, low: Column, high: Column) -> Column:
-        near = F.slice(F.filter(order, lambda b: (b >= low) & (b < high)), 1, extra_probes)
-        one = F.lit(1).cast("bigint")
-        flipped = F.transform(
-            near, lambda b: code.bitwiseXOR(F.call_function("shiftleft", one, F.lit(MAX_BITS - 1) - b.cast("int")))
-        )
-        return F.concat(F.array(code), flipped)
-
-    order = F.col("c.bit_order")
-    shallow = per_tree.select(
-        "query_id", "tree", order, F.explode(flips(F.col("c.codes"), order, F.lit(0), F.lit(bits))).alias("code")
-    ).withColumn("prefix", _leaf(F.col("code"), F.lit(bits)))
-    deep = shallow.join(broadcast_if_small(index["leaves"]), ["tree", "prefix"], "left").withColumn(
-        "depth", F.coalesce("depth", F.lit(bits))
-    )
-    codes = flips(F.col("code"), F.col("bit_order"), F.lit(bits), F.col("depth"))
-    probed = deep.select("query_id", "tree", "depth", F.explode(codes).alias("code"))
-    return probed.select("query_id", "tree", _leaf(F.col("code"), F.col("depth")).alias("leaf")).distinct()
-
-
-def probe_leaves(index: dict[str, DataFrame], queries: DataFrame, extra_probes: int = 1) -> DataFrame:
-    """(query_id, tree, leaf): the leaf of each query per tree and its nearest sibling leaves.
-
-    A sibling differs in one of the ``extra_probes`` bits with the smallest margin; leaves that were cut deeper are
-    probed the same way in the deeper bits.
-    """
-    planes, bits = _planes_of(index)
-    return _probes(index, _coded(queries.select("query_id", "vector"), planes, margins=True), bits, extra_probes)
-
-
-def knn_candidates(index: dict[str, DataFrame], queries: DataFrame, extra_probes: int = 1) -> DataFrame:
-    """Per query the leaves probed and the items in them, counted from leaf sizes: the work a search will do."""
-    sizes = index["postings"].groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
-    probes = probe_leaves(index, queries, extra_probes)
-    met = probes.join(sizes, ["tree", "leaf"], "left")
-    return met.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("leaves"), F.coalesce(F.sum("n"), F.lit(0)).alias("candidates")
-    )
-
-
-def search(
-    index: dict[str, DataFrame],
-    queries: DataFrame,
-    k: int = 10,
-    extra_probes: int = 1,
-    include_distances: bool = True,
-) -> DataFrame:
-    """Approximately nearest ``k`` items per query: (query_id, item_id[, distance], rank).
-
-    Equal query vectors are searched once. Of an item's exact copies the first ``k`` ids can make the result, so
-    only those are put back.
-    """
-    planes, bits = _planes_of(index)
-    coded = materialise(_coded(queries.select("query_id", "vector"), planes, margins=True), "queries")
-    first = coded.groupBy("h1", "h2").agg(F.min("query_id").alias("rep"))
-    askers = coded.select("query_id", "h1", "h2").join(first, ["h1", "h2"]).select("rep", "query_id")
-    distinct = coded.join(first.select(F.col("rep").alias("query_id")), "query_id", "left_semi")
-    probes = materialise(_probes(index, distinct, bits, extra_probes), "probes")
-
-    probed = broadcast_if_small(probes.select("tree", "leaf").distinct())
-    met = index["postings"].join(probed, ["tree", "leaf"], "left_semi").select("tree", "leaf", "item_id")
-    near = block_top_k(probes, met, ["tree", "leaf"], coded, index["items"], k)
-    best = top_k_per_query(near.distinct(), k).drop("rank")  # several trees find the same items
-
-    first_copies = top_k_per_query(index["copies"], k, ("rep",), "item_id").drop("rank")
-    spread = best.withColumnRenamed("item_id", "rep").join(first_copies, "rep").drop("rep")
-    ranked = top_k_per_query(spread, k)
-    answered = ranked.withColumnRenamed("query_id", "rep").join(askers, "rep")
-    columns = ["query_id", "item_id", "distance", "rank"] if include_distances else ["query_id", "item_id", "rank"]
-    return answered.select(*columns)
-
-
 # ---------------------------------------------------------------- centroids
 
 

@@ -332,6 +332,10 @@ ORACLES: dict[str, str] = {
     "w1_bio_spans_rows": _with(NER_ROWS, f"unmasked as (select * from ner_rows where label <> {MASKED_LABEL})", _spans("unmasked", "label", "truth"))
     + 'select sent, "start", "end", type from truth',
     "w2_align_labels": _with(PIECES) + f"select sent_id, {_joined('labels')} as labels, {_joined('all_labels')} as all_labels from ner_split",
+    "s6_save_load_index": "select tree, count(distinct embedding) as items, true as bounded from embeddings, (select cast(unnest(range(10)) as int) as tree) group by tree",
+    "v4_every_item_in_every_tree": "select min(vec_id) as item_id, cast(10 as bigint) as trees, cast(10 as bigint) as postings from embeddings group by embedding",
+    "v5_search_quality": "select vec_id as query_id, (select least(10, count(*)) from embeddings) as found, true as own, true as enough from embeddings",
+    "j6_candidates_hold_the_query": "select vec_id as query_id, cast(1 as bigint) as own from embeddings",
     "w3_batch_index": "select doc_id, (row_number() over (order by doc_id) - 1) // 64 as batch from documents",
     "w3_batch_index_seeded": f"select doc_id, (row_number() over (order by {_hash('doc_id')}) - 1) // 8 as batch from documents",
     "w4_prefix_offsets": _with(TOKENS) + "select doc_id, cast(len(t) as int) as n, cast(coalesce(sum(len(t)) over "

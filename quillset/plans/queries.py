@@ -16,7 +16,7 @@ from quillset.functions import vectors as vec
 from quillset.functions.fixed_values import ENTITY_LABELS, MASKED_LABEL
 from quillset.functions.text import basic_tokens, preprocess_text
 from quillset.functions.tokens import align_labels
-from quillset.operators import classifiers, embedding, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
+from quillset.operators import classifiers, embedding, forest, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
 from quillset.operators.rows import explode_rows
 from quillset.plans import evaluation, fixtures, retrieval, training_sets
 from quillset.session import broadcast_if_small, materialise, scratch_path
@@ -75,11 +75,11 @@ def s5_write_results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s6_save_load_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = nearest.build_index(fixtures.vectors(spark, sf_dir).select("item_id", "vector"))
-    loaded = sinks.load_index(spark, sinks.save_index(index, scratch_path(spark, "index")))
-    return loaded["postings"].groupBy("tree").agg(
-        F.count(F.lit(1)).alias("items"), F.count_distinct("leaf").alias("leaves")
-    )
+    """Per tree of a stored index: its items, and whether its leaves are as small as they should be."""
+    items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
+    loaded = sinks.load_index(spark, sinks.save_index(items, scratch_path(spark, "index")))
+    sizes = loaded["postings"].groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("tree").agg(F.sum("n").alias("items"), (F.max("n") <= loaded["manifest"]["leaf_size"]).alias("bounded"))
 
 
 def s7_write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +274,19 @@ def j5_knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j6_knn_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
     queries = items.withColumnRenamed("item_id", "query_id")
-    return nearest.knn_candidates(nearest.build_index(items), queries)
+    return forest.knn_candidates(forest.build_index(items), queries)
+
+
+def j6_candidates_hold_the_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a query that is an item has itself, or its first copy, among its candidates, and at most every item once."""
+    items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
+    index = forest.build_index(items)
+    queries = items.withColumnRenamed("item_id", "query_id")
+    probes = materialise(forest.probe_leaves(index, queries), "probes")
+    pairs = probes.join(forest.postings_of(index, probes), ["tree", "leaf"]).select("query_id", "item_id").distinct()
+    own = index["copies"].withColumnRenamed("item_id", "query_id")
+    found = pairs.join(own, "query_id").groupBy("query_id").agg(F.count_if(F.col("item_id") == F.col("rep")).alias("own"))
+    return found.select("query_id", "own")
 
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -515,12 +527,28 @@ def v3_angular_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v4_build_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearest.build_index(fixtures.vectors(spark, sf_dir).select("item_id", "vector"))["postings"]
+    return forest.build_index(fixtures.vectors(spark, sf_dir).select("item_id", "vector"))["postings"]
+
+
+def v4_every_item_in_every_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many trees hold each distinct vector, by the first of its ids."""
+    return v4_build_index(spark, sf_dir).groupBy("item_id").agg(F.count_distinct("tree").alias("trees"), F.count(F.lit(1)).alias("postings"))
 
 
 def v5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
-    return nearest.search(nearest.build_index(items), items.withColumnRenamed("item_id", "query_id"))
+    return forest.search(forest.build_index(items), items.withColumnRenamed("item_id", "query_id"))
+
+
+def v5_search_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per query the rows found, its own distance, and over all queries whether nine of ten true neighbours are found."""
+    items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
+    queries = items.withColumnRenamed("item_id", "query_id")
+    found = materialise(v5_search(spark, sf_dir), "found")
+    exact = nearest.knn_exact(queries, items, 10).select("query_id", "item_id")
+    recall = exact.join(found.withColumn("hit", F.lit(1.0)), ["query_id", "item_id"], "left").agg(F.avg(F.coalesce("hit", F.lit(0.0))).alias("recall"))
+    rows = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), (F.min("distance") < 0.001).alias("own"))
+    return rows.crossJoin(F.broadcast(recall)).select("query_id", "found", "own", (F.col("recall") >= 0.9).alias("enough"))  # recall: one row
 
 
 def v6_retrieve_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

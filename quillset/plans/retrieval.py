@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 
 from quillset.operators.embedding import embed_text
 from quillset.operators.joins import lookup_neighbours
-from quillset.operators.nearest import build_index, search
+from quillset.operators.forest import build_index, search
 
 
 def index_documents(
     documents: DataFrame, encoder: PipelineModel, key: str = "doc_id", text: str = "text", **index_options
-) -> dict[str, DataFrame]:
+) -> dict:
     """Vector index over the cleaned texts."""
     vectors = embed_text(documents.select(key, text), encoder, text)
     return build_index(vectors.select(F.col(key).alias("item_id"), "vector"), **index_options)
 
 
 def retrieve_documents(
-    index: dict[str, DataFrame],
+    index: dict,
     encoder: PipelineModel,
     questions: DataFrame,
     documents: DataFrame,
@@ -28,9 +28,9 @@ def retrieve_documents(
     k: int = 10,
     key: str = "query_id",
     text: str = "text",
-    extra_probes: int = 1,
+    candidates: int | None = None,
 ) -> DataFrame:
     """The ``k`` documents nearest to each question, with raw text and class name."""
     queries = embed_text(questions.select(key, text), encoder, text)
-    found = search(index, queries.select(F.col(key).alias("query_id"), "vector"), k, extra_probes)
+    found = search(index, queries.select(F.col(key).alias("query_id"), "vector"), k, candidates)
     return lookup_neighbours(found, documents, classes)

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from quillset.operators.nearest import open_index
+from quillset.operators.forest import build_index, open_index
 
 
 def write_results_csv(df: DataFrame, path: str) -> str:
@@ -32,17 +32,14 @@ def read_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).json(path)
 
 
-def save_index(index: dict[str, DataFrame], path: str) -> str:
-    """Write the tables of a vector index; postings are laid out by tree."""
-    for name, table in index.items():
-        writer = table.write.mode("errorifexists")
-        if name == "postings":
-            writer = writer.partitionBy("tree")
-        writer.parquet(f"{path}/{name}")
+def save_index(items: DataFrame, path: str, **options) -> str:
+    """Build the vector index of (item_id, vector) at ``path``; its tables are written once, the manifest last."""
+    build_index(items, path=path, **options)
     return path
 
 
-def load_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def load_index(spark: SparkSession, path: str) -> dict:
+    """An index that was written to its end."""
     return open_index(spark, path)
 
 

@@ -1,9 +1,12 @@
 """Exact and approximate search against brute force."""
 
+import shutil
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from quillset.operators import embedding, nearest
+from quillset.operators import embedding, forest, nearest
 from quillset.sources import sinks
 
 
@@ -53,34 +56,95 @@ def test_more_neighbours_than_items(spark):
     assert nearest.knn_exact(items.withColumnRenamed("item_id", "query_id"), items, 10).count() == 9
 
 
-def test_probing_every_leaf_is_exact_and_copies_come_back(spark, data):
+def test_a_search_through_all_leaves_is_exact_and_copies_come_back(spark, data):
     queries, items = data
     queries = np.vstack([queries, items[7:8], items[7:8]])  # the copied vector, asked for twice
-    index = nearest.build_index(frame(spark, items, "item_id"), n_trees=2, bits=2, leaf_size=1000)
-    got = found(nearest.search(index, frame(spark, queries, "query_id"), 10, extra_probes=2))
-    wanted = brute(queries.astype(np.float64), items.astype(np.float64), 10)
-    asked = [{g for g in got if g[0] == q} == {w for w in wanted if w[0] == q} for q in (25, 26)]
-    assert all(asked)
+    index = forest.build_index(frame(spark, items, "item_id"), n_trees=2, leaf_size=16)
+    got = found(forest.search(index, frame(spark, queries, "query_id"), 10, candidates=10_000))
+    assert got == brute(queries.astype(np.float64), items.astype(np.float64), 10)
     assert {g[1] for g in got if g[0] == 25} == {7, *range(100, 109)}
 
 
-def clustered(n_clusters=40, per=25, dim=32):
-    draw = np.random.default_rng(1)
-    centres = draw.standard_normal((n_clusters, dim))
-    return (centres[:, None, :] + 0.05 * draw.standard_normal((n_clusters, per, dim))).reshape(-1, dim).astype(np.float32)
+def arrow_frame(spark, matrix, key):
+    vectors = pa.array(list(matrix.astype(np.float32)), pa.list_(pa.float32()))
+    return spark.createDataFrame(pa.table({key: pa.array(range(len(matrix)), pa.int64()), "vector": vectors})).repartition(8)
 
 
-def test_recall_and_pruning_on_clusters(spark):
-    items = clustered()
-    queries = items[::17]
-    index = nearest.build_index(frame(spark, items, "item_id"), n_trees=6, leaf_size=32)
-    q = frame(spark, queries, "query_id")
-    got = found(nearest.search(index, q, 10))
+def clustered(n_clusters=40, per=25, dim=32, spread=0.05):
+    draw = np.random.default_rng(1)
+    centres = draw.standard_normal((n_clusters, dim))
+    return (centres[:, None, :] + spread * draw.standard_normal((n_clusters, per, dim))).reshape(-1, dim).astype(np.float32)
+
+
+@pytest.mark.parametrize(
+    "kind,most_work", [("random", 0.7), ("clustered", 0.05), ("non-negative", 0.7), ("large", 0.6)]
+)
+def test_recall_rows_and_bounded_leaves(spark, kind, most_work):
+    draw = np.random.default_rng(4)
+    items = {
+        "random": lambda: draw.standard_normal((4000, 64)),
+        "clustered": lambda: clustered(200, 40, 64, 0.3),
+        "non-negative": lambda: np.abs(draw.standard_normal((4000, 32))),
+        "large": lambda: draw.standard_normal((60_000, 64)),
+    }[kind]().astype(np.float32)
+    queries = (items[:100] + 0.1 * draw.standard_normal((100, items.shape[1]))).astype(np.float32)
+    index = forest.build_index(arrow_frame(spark, items, "item_id"))
+    sizes = index["leaves"].groupBy("tree").agg({"n": "sum"}).collect()
+    assert index["leaves"].agg({"n": "max"}).first()[0] <= 128 and {r[1] for r in sizes} == {len(items)}
+    q = arrow_frame(spark, queries, "query_id")
+    got = [tuple(r) for r in forest.search(index, q, 10).select("query_id", "item_id").collect()]
     wanted = brute(queries.astype(np.float64), items.astype(np.float64), 10)
-    pairs = lambda rows: {(r[0], r[1]) for r in rows}
-    recall = len(pairs(got) & pairs(wanted)) / len(wanted)
-    work = nearest.knn_candidates(index, q).agg({"candidates": "avg"}).first()[0] / (6 * len(items))
-    assert recall >= 0.95 and work <= 0.3
+    pairs = {(r[0], r[1]) for r in wanted}
+    assert len(got) == len(set(got)) == 1000 and len(pairs & set(got)) / len(pairs) >= 0.9
+    work = forest.knn_candidates(index, q).agg({"candidates": "avg", "query_id": "count"}).first()
+    assert min(work) / len(items) <= most_work
+
+
+def test_every_query_gets_its_rows(spark):
+    items = np.random.default_rng(2).standard_normal((700, 8)).astype(np.float32)
+    items[200:] = items[0]  # one vector and its many copies
+    df = frame(spark, items, "item_id").union(spark.createDataFrame([(9000, None), (9001, [])], "item_id long, vector array<float>"))
+    index = forest.build_index(df, n_trees=3, leaf_size=8)
+    queries = frame(spark, items[:30], "query_id").union(spark.createDataFrame([(500, None), (501, [0.0] * 8)], "query_id long, vector array<float>"))
+    counts = {r[0]: r[1] for r in forest.search(index, queries, 10, candidates=1).groupBy("query_id").count().collect()}
+    assert counts == {**dict.fromkeys(range(30), 10), 501: 10}
+    few = forest.build_index(frame(spark, items[:4], "item_id"), n_trees=2)
+    assert forest.search(few, frame(spark, items[:2], "query_id"), 10).count() == 8
+    with pytest.raises(ValueError):
+        forest.build_index(df.limit(0))
+
+
+def test_scaled_copies_cannot_be_split_and_are_searched_in_blocks(spark):
+    one = np.random.default_rng(6).standard_normal(8)
+    items = np.vstack([one * s for s in range(1, 301)]).astype(np.float32)
+    index = forest.build_index(frame(spark, items, "item_id"), n_trees=2, leaf_size=32)
+    top = forest.search(index, frame(spark, items[:3], "query_id"), 5).collect()
+    assert len(top) == 15 and all(r["distance"] < 0.001 for r in top)
+
+
+def test_subtrees_below_the_first_tier(spark, monkeypatch):
+    monkeypatch.setattr(forest, "SAMPLE", 200)
+    items = np.random.default_rng(8).standard_normal((1500, 16)).astype(np.float32)
+    index = forest.build_index(frame(spark, items, "item_id"), n_trees=4, leaf_size=8)
+    assert index["manifest"]["tiers"] >= 2 and index["leaves"].agg({"n": "max"}).first()[0] <= 8
+    assert index["postings"].count() == 4 * 1500
+    got = found(forest.search(index, frame(spark, items[:60], "query_id"), 10))
+    wanted = brute(items[:60].astype(np.float64), items.astype(np.float64), 10)
+    assert len({g[:2] for g in got} & {w[:2] for w in wanted}) / len(wanted) >= 0.9
+
+
+def test_best_first_visits_leaves_by_falling_margin():
+    draw = np.random.default_rng(0)
+    rows = draw.standard_normal((500, 6))
+    trees = [(t, forest.Subtree.of(*forest.grow(rows, 20, t)), None) for t in range(3)]
+    visited = list(forest.best_first(trees, rows[0], np.inf, np.inf, 0))
+    assert sorted((w, leaf) for w, leaf, _ in visited) == sorted((w, i) for w, (_, tree, _) in enumerate(trees) for i in range(len(tree.paths)))
+    margins = [p for _, _, p in visited]
+    assert margins == sorted(margins, reverse=True)
+    own = {(w, int(tree.leaves_of(rows[:1])[0])) for w, (_, tree, _) in enumerate(trees)}
+    assert own == {(w, leaf) for w, leaf, p in visited if p > 0}
+    for _, tree, _ in trees:
+        assert np.bincount(tree.leaves_of(rows)).max() <= 20
 
 
 def test_recall_on_the_given_vectors(spark):
@@ -89,26 +153,24 @@ def test_recall_on_the_given_vectors(spark):
     items = fixtures.vectors(spark, "/root/testdata/sf0.01").select("item_id", "vector")
     queries = items.withColumnRenamed("item_id", "query_id")
     exact = {(r[0], r[1]) for r in found(nearest.knn_exact(queries, items, 10))}
-    near = {(r[0], r[1]) for r in found(nearest.search(nearest.build_index(items), queries, 10))}
+    near = {(r[0], r[1]) for r in found(forest.search(forest.build_index(items), queries, 10))}
     assert len(exact & near) / len(exact) >= 0.9
 
 
-def test_crowded_leaves_are_cut_deeper(spark):
-    draw = np.random.default_rng(5)
-    close = draw.standard_normal(16) + 0.3 * draw.standard_normal((600, 16))
-    index = nearest.build_index(frame(spark, close, "item_id"), n_trees=3, bits=1, leaf_size=32)
-    assert index["leaves"].count() > 0
-    assert index["postings"].count() == 3 * 600
-    top = nearest.search(index, frame(spark, close[:20], "query_id"), 1).collect()
-    assert all(r["query_id"] == r["item_id"] for r in top) and len(top) == 20
-
-
-def test_saved_index_finds_the_same(spark, data, tmp_path):
+def test_stored_index(spark, data, tmp_path):
     queries, items = data
-    index = nearest.build_index(frame(spark, items, "item_id"), n_trees=2)
-    loaded = sinks.load_index(spark, sinks.save_index(index, str(tmp_path / "index")))
+    path = sinks.save_index(frame(spark, items, "item_id"), str(tmp_path / "index"), n_trees=2, leaf_size=16)
+    loaded = sinks.load_index(spark, path)
     q = frame(spark, queries, "query_id")
-    assert found(nearest.search(loaded, q, 5)) == found(nearest.search(index, q, 5))
+    assert found(forest.search(loaded, q, 5, candidates=10_000)) == brute(queries.astype(np.float64), items.astype(np.float64), 5)
+    probes = forest.probe_leaves(loaded, q.limit(1), 1)
+    plan = forest.postings_of(loaded, probes)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    with pytest.raises(Exception, match="already exists"):
+        sinks.save_index(frame(spark, items, "item_id"), path)
+    shutil.rmtree(tmp_path / "index" / "manifest")  # as if the writer had been stopped
+    with pytest.raises(FileNotFoundError):
+        sinks.load_index(spark, path)
 
 
 def make_counting_encoder():
