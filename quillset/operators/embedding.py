@@ -16,7 +16,8 @@ from quillset.functions.text import STOPWORDS, preprocess_text
 
 
 def clean_for_embedding(df: DataFrame, text: str, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
-    return df.withColumn("_clean", preprocess_text(F.col(text), stopwords))
+    """``df`` with the cleaned text; a null text is cleaned to the empty one."""
+    return df.withColumn("_clean", F.coalesce(preprocess_text(F.col(text), stopwords), F.lit("")))
 
 
 def fit_tfidf_encoder(
@@ -35,9 +36,12 @@ def fit_tfidf_encoder(
 def embed_text(
     df: DataFrame, encoder: PipelineModel, text: str = "text", out: str = "vector", stopwords: Iterable[str] = STOPWORDS
 ) -> DataFrame:
-    """Add the encoder's vector of the cleaned text."""
+    """Add the encoder's vector of the cleaned text. A text without words gets a vector of zeros, a null text none."""
     encoded = encoder.transform(clean_for_embedding(df, text, stopwords))
-    return encoded.withColumn(out, vector_to_array("_unit", "float32")).select(*df.columns, out)
+    vector = vector_to_array("_unit", "float32")
+    zeros = F.transform(vector, lambda x: F.lit(0.0).cast("float"))
+    known = F.when(F.col("_clean") == "", zeros).otherwise(vector)
+    return encoded.withColumn(out, F.when(F.col(text).isNotNull(), known)).select(*df.columns, out)
 
 
 def embed_text_with_model(

@@ -18,9 +18,23 @@ def split_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def merge_logs(log: DataFrame, on: Sequence[str] = ("epoch", "step")) -> DataFrame:
-    """Training loss beside evaluation loss of the same epoch and step, all combinations of equal keys."""
+    """Training rows beside validation rows of the same epoch and step, all combinations of equal keys.
+
+    Every metric column survives. Columns that only one kind of row fills keep their name; a column that both kinds fill
+    comes twice, with the suffixes ``_train`` and ``_valid``. The losses belong to their side.
+    """
     train, valid = split_log(log)
-    return train.select(*on, "loss").join(valid.select(*on, "eval_loss"), list(on), "inner")
+    metrics = [c for c in log.columns if c not in (*on, "loss", "eval_loss")]
+    filled = lambda side: [F.count(F.col(f"`{c}`")).alias(f"{side}_{i}") for i, c in enumerate(metrics)]
+    used = train.agg(*filled("t")).join(valid.agg(*filled("v"))).first() if metrics else {}  # one row each
+    of_train, of_valid = [F.col("loss")], [F.col("eval_loss")]
+    for i, name in enumerate(metrics):
+        both = used[f"t_{i}"] and used[f"v_{i}"]
+        if used[f"t_{i}"] or not used[f"v_{i}"]:
+            of_train.append(F.col(f"`{name}`").alias(f"{name}_train" if both else name))
+        if used[f"v_{i}"]:
+            of_valid.append(F.col(f"`{name}`").alias(f"{name}_valid" if both else name))
+    return train.select(*on, *of_train).join(valid.select(*on, *of_valid), list(on), "inner")
 
 
 def lookup_neighbours(
@@ -30,10 +44,10 @@ def lookup_neighbours(
 
     ``documents`` has ``text`` and ``target``, ``classes`` the name of each target. The neighbour list is joined as
     it is: when it is small Spark broadcasts it, when a document is the neighbour of very many queries the skew
-    join splits it.
+    join splits it. A neighbour whose document or class is unknown stays, with nulls in its place.
     """
-    found = neighbours.join(documents.select(F.col(doc_key).alias("item_id"), "text", "target"), "item_id")
-    named = found.join(broadcast_if_small(classes), "target")
+    found = neighbours.join(documents.select(F.col(doc_key).alias("item_id"), "text", "target"), "item_id", "left")
+    named = found.join(broadcast_if_small(classes), "target", "left")
     return named.select(*neighbours.columns, "text", "target", "target_name")
 
 

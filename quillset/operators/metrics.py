@@ -57,11 +57,13 @@ def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: Sequence[int]) -> DataFrame:
-    """One row per label, one ``pred_<class>`` column per class."""
+    """One row per label, one ``pred_<class>`` column per class, and ``pred_other`` for predictions outside ``classes``
+    (nulls too), so that a row's columns add up to its label's rows."""
     cells = [
         F.count_if(F.col(pred) == F.lit(c)).alias(f"pred_{c}".replace("-", "minus_")) for c in classes
     ]
-    return df.groupBy(F.col(label).alias("label")).agg(*cells)
+    known = F.coalesce(F.col(pred).isin(*classes), F.lit(False))
+    return df.groupBy(F.col(label).alias("label")).agg(*cells, F.count_if(~known).alias("pred_other"))
 
 
 def _ratio(part: Column, whole: Column) -> Column:

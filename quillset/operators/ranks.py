@@ -14,15 +14,19 @@ Keys must be unique; that is what makes the order total.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PREFIX_DIGITS = 4  # 65,536 hash prefixes: the bound on every counts table below
 SMALL_SAMPLE = 256  # up to here a top-n per task is cheaper than counting prefixes
 MAX_BUCKETS = 65_536
+SAMPLES_PER_BUCKET = 16  # of keys that are no numbers
 
 
 def seeded_hash(key: Column, seed: int) -> Column:
@@ -125,14 +129,16 @@ def train_test_split(df: DataFrame, key: str, test: float = 0.3, seed: int = 42)
 def _buckets(df: DataFrame, key: str, seed: int | None) -> tuple[DataFrame, list[Column]]:
     """``df`` with a ``_bucket`` column that grows with the order, and the order inside a bucket.
 
-    Seeded order: bucket by hash prefix. Natural order of a numeric key: bucket by quantiles of the key, so gaps
-    or clusters in the keys do not make a bucket large.
+    Seeded order: bucket by hash prefix. Natural order: bucket by quantiles of the key, so gaps or clusters in the keys
+    do not make a bucket large. Keys that are no numbers are cut at sampled values of their own type.
     """
     if seed is not None:
         order = seeded_hash(F.col(key), seed)
         return df.withColumn("_bucket", F.substring(order, 1, 3)), [order, F.col(key)]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(MAX_BUCKETS, 4 * partitions)
+    if not isinstance(df.schema[key].dataType, (T.NumericType, T.TimestampType)):
+        return df.withColumn("_bucket", _between_samples(df, key, buckets)), [F.col(key)]
     as_double = df.withColumn("_key_as_double", F.col(key).cast("double"))
     probabilities = [i / buckets for i in range(1, buckets)]
     edges = as_double.approxQuantile("_key_as_double", probabilities, 1 / (8 * buckets))
@@ -143,6 +149,24 @@ def _buckets(df: DataFrame, key: str, seed: int | None) -> tuple[DataFrame, list
     return bucketed.drop("_key_as_double"), [F.col(key)]
 
 
+def _between_samples(df: DataFrame, key: str, buckets: int) -> Column:
+    """Number of the sampled keys up to the key, which grows with it; a null key comes first.
+
+    About SAMPLES_PER_BUCKET keys for each bucket are drawn by hash and sorted by Spark, so their order is its own.
+    """
+    total = df.count()
+    share = min(1.0, buckets * SAMPLES_PER_BUCKET / max(1, total))
+    drawn = df.filter(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))))
+    ordered = [r[0] for r in drawn.select(key).orderBy(key).collect()]  # bounded by MAX_BUCKETS * SAMPLES_PER_BUCKET
+    edges = sorted(set(ordered[:: max(1, len(ordered) // buckets)]))
+
+    @F.arrow_udf("double")
+    def place(keys: pa.Array) -> pa.Array:
+        return pa.array([-1.0 if k is None else float(bisect_right(edges, k)) for k in keys.to_pylist()], pa.float64())
+
+    return place(key)
+
+
 def _with_bucket_start(bucketed: DataFrame, amount: Column) -> DataFrame:
     """Add ``_bucket_start``: the sum of ``amount`` over all earlier buckets."""
     sums = bucketed.groupBy("_bucket").agg(F.sum(amount).alias("_sum"))

@@ -127,7 +127,8 @@ def entity_scores(
     """Precision, recall and F1 of exact spans, per type and over all (``type`` = ``micro``).
 
     ``pred`` and ``label`` are arrays of label ids per sentence; masked positions are taken out of both first.
-    Spans are compared inside the row, so only counts per type are shuffled.
+    Spans are compared inside the row, so only counts per type are shuffled. Without any span there is the row ``micro``
+    with zeros. Types may hold any character.
     """
     pairs = df.select(mask_filter(F.col(pred), F.col(label)).alias("pairs"))
     tags = pairs.select(
@@ -142,20 +143,26 @@ def entity_scores(
     keys = spans.select(named("truth").alias("truth"), named("guess").alias("guess"))
     matched = F.array_intersect("truth", "guess")
 
+    def type_of(key: Column) -> Column:  # all but the two positions at the end
+        return F.substring(key, F.lit(1), F.length(key) - F.length(F.substring_index(key, ":", -2)) - 1)
+
     def kinds(column: Column, side: str) -> Column:
-        return F.transform(column, lambda k: F.struct(F.substring_index(k, ":", 1).alias("type"), F.lit(side).alias("side")))
+        return F.transform(column, lambda k: F.struct(type_of(k).alias("type"), F.lit(side).alias("side")))
 
     sides = F.concat(kinds(F.col("truth"), "t"), kinds(F.col("guess"), "g"), kinds(matched, "m"))
-    found = explode_rows(keys, sides, "k")
-    counts = found.rollup(F.col("k.type").alias("type")).agg(
-        F.count_if(F.col("k.side") == "t").alias("true_spans"),
-        F.count_if(F.col("k.side") == "g").alias("predicted_spans"),
-        F.count_if(F.col("k.side") == "m").alias("matched_spans"),
+    found = explode_rows(keys, sides, "k").select("k.type", "k.side")
+    # one row without a type, so that there is something to count when there are no spans
+    found = found.unionByName(df.sparkSession.range(1).select(*[F.lit(None).cast("string").alias(c) for c in found.columns]))
+    counts = found.rollup("type").agg(
+        F.grouping("type").alias("all_types"),
+        F.count_if(F.col("side") == "t").alias("true_spans"),
+        F.count_if(F.col("side") == "g").alias("predicted_spans"),
+        F.count_if(F.col("side") == "m").alias("matched_spans"),
     )
     precision = _ratio(F.col("matched_spans"), F.col("predicted_spans"))
     recall = _ratio(F.col("matched_spans"), F.col("true_spans"))
     f1 = _ratio(F.lit(2.0) * F.col("matched_spans"), F.col("predicted_spans") + F.col("true_spans"))
-    return counts.select(
+    return counts.filter("all_types = 1 or type is not null").select(
         F.coalesce("type", F.lit("micro")).alias("type"),
         "true_spans", "predicted_spans", "matched_spans",
         precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),

@@ -241,7 +241,7 @@ ENTITY = (
     f"{_round('case when t + g = 0 then 0.0 else 2.0 * m / (t + g) end')} as f1 from sums"
 )
 LOG = (
-    "log as (select event_id // 5 as step, (event_id // 5) / 500.0::double as epoch, "
+    "log as (select event_id, event_id // 5 as step, (event_id // 5) / 500.0::double as epoch, "
     "case when event_type = 'view' then value end as loss, case when event_type = 'purchase' then value end as eval_loss from events)"
 )
 SECONDS = "(date_diff('microsecond', min(ts), max(ts)) / 1000000.0::double)"
@@ -300,10 +300,10 @@ ORACLES: dict[str, str] = {
     "f13_mask_filter": _with(NER_ROWS) + "select sent_id, "
     f"coalesce(string_agg(cast(pred as varchar), ' ' order by pos) filter (label <> {MASKED_LABEL}), '') as pred, "
     f"coalesce(string_agg(cast(label as varchar), ' ' order by pos) filter (label <> {MASKED_LABEL}), '') as label from ner_rows group by sent_id",
-    "j1_merge_logs": _with(LOG) + "select t.epoch, t.step, t.loss, v.eval_loss from (select * from log where loss is not null) t "
+    "j1_merge_logs": _with(LOG) + "select t.epoch, t.step, t.loss, v.eval_loss, t.event_id as event_id_train, v.event_id as event_id_valid from (select * from log where loss is not null) t "
     "join (select * from log where loss is null and eval_loss is not null) v on t.epoch = v.epoch and t.step = v.step",
     "j2_lookup_neighbours": _with(KNN, CLASSES) + "select query_id, item_id, distance, cast(rank as int) as rank, text, target, target_name "
-    "from knn join documents on doc_id = item_id join classes on source = target_name",
+    "from knn left join documents on doc_id = item_id left join classes on source = target_name",
     "j3_write_back": _with(ANSWERED) + f"select m.id, m.question, m.cop, a.answer from mcq m left join "
     f"(select id, answer from mcq_answered where {SINGLE}) a on a.id = m.id",
     "j4_pair_predictions": _with(NER_ROWS) + "select label, pred, count(*) as n from ner_rows group by label, pred",
@@ -319,7 +319,7 @@ ORACLES: dict[str, str] = {
     + "select cast(class as varchar)" + REPORT.split(" select cast(class as varchar)")[1],
     "a5_confusion_matrix": _with(PREDICTED) + "select cop as label, "
     + ", ".join(f"count(*) filter (prediction = {c}) as pred_{str(c).replace('-', 'minus_')}" for c in (-1, 0, 1, 2, 3))
-    + " from predicted group by cop",
+    + ", count(*) filter (coalesce(prediction not in (-1, 0, 1, 2, 3), true)) as pred_other from predicted group by cop",
     "a6_token_accuracy": _with(NER_ROWS) + "select count(*) as tokens, count(*) filter (pred = label) as hits, "
     f"{_round('count(*) filter (pred = label) / count(*)')} as accuracy from ner_rows where label <> {MASKED_LABEL}",
     "a7_entity_scores": "with " + ENTITY,
@@ -340,6 +340,9 @@ ORACLES: dict[str, str] = {
     "w3_batch_index_seeded": f"select doc_id, (row_number() over (order by {_hash('doc_id')}) - 1) // 8 as batch from documents",
     "w4_prefix_offsets": _with(TOKENS) + "select doc_id, cast(len(t) as int) as n, cast(coalesce(sum(len(t)) over "
     '(order by doc_id rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset" from toks',
+    "w3_batch_index_text_key": "select concat_ws('-', source, lang, doc_id) as key, (row_number() over (order by concat_ws('-', source, lang, doc_id)) - 1) // 64 as batch from documents",
+    "w4_prefix_offsets_text_key": _with(TOKENS) + "select concat_ws('-', source, lang, doc_id) as key, cast(len(t) as int) as n, cast(coalesce(sum(len(t)) over "
+    "(order by concat_ws('-', source, lang, doc_id) rows between unbounded preceding and 1 preceding), 0) as bigint) as offset from toks join documents using (doc_id)",
     "w5_item_ids": "select vec_id, row_number() over (order by vec_id) - 1 as item from embeddings",
     "t1_sample_n": _with(MCQ) + f"select id, question, cop from mcq where {SINGLE} order by {_hash('id')} limit 500",
     "t2_split_exact": _with(KNOWN) + f"select id, clean_text as text, category_1 as label, split from {_three_way('known', 'id')}",

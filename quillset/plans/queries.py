@@ -410,6 +410,19 @@ def w3_batch_index_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.batch_index(keys, "doc_id", 8, seed=SEED)
 
 
+def w3_batch_index_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranks.batch_index(_text_keys(spark, sf_dir).select("key"), "key", 64)
+
+
+def _text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = fixtures.table(spark, sf_dir, "documents")
+    return documents.select(F.concat_ws("-", "source", "lang", "doc_id").alias("key"), F.size(basic_tokens(F.col("text"))).alias("n"))
+
+
+def w4_prefix_offsets_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranks.prefix_offsets(_text_keys(spark, sf_dir), "key", "n")
+
+
 def w4_prefix_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lengths = fixtures.table(spark, sf_dir, "documents").select("doc_id", F.size(basic_tokens(F.col("text"))).alias("n"))
     return ranks.prefix_offsets(lengths, "doc_id", "n")

@@ -14,8 +14,8 @@ from quillset.operators.forest import build_index, search
 def index_documents(
     documents: DataFrame, encoder: PipelineModel, key: str = "doc_id", text: str = "text", **index_options
 ) -> dict:
-    """Vector index over the cleaned texts."""
-    vectors = embed_text(documents.select(key, text), encoder, text)
+    """Vector index over the cleaned texts; those without words have no direction and are left out."""
+    vectors = embed_text(documents.select(key, text), encoder, text).filter(F.exists("vector", lambda x: x != 0))
     return build_index(vectors.select(F.col(key).alias("item_id"), "vector"), **index_options)
 
 

@@ -184,3 +184,13 @@ def test_encoders(spark):
     assert np.linalg.norm(vectors[2]) == pytest.approx(1.0) and vectors[1] == pytest.approx(vectors[3])
     own = {r["id"]: r["vector"] for r in embedding.embed_text_with_model(df, make_counting_encoder).collect()}
     assert own == {1: [7.0, 2.0], 2: [15.0, 3.0], 3: [7.0, 2.0]}
+
+
+def test_texts_without_words_have_no_direction(spark):
+    from quillset.plans import retrieval
+
+    df = spark.createDataFrame([(1, "red fox"), (2, ""), (3, None), (4, "the")], "doc_id long, text string")
+    model = embedding.fit_tfidf_encoder(df, dim=16)
+    vectors = {r["doc_id"]: r["vector"] for r in embedding.embed_text(df, model).collect()}
+    assert vectors[3] is None and vectors[2] == vectors[4] == [0.0] * 16 and max(vectors[1]) > 0
+    assert [r["item_id"] for r in retrieval.index_documents(df, model, n_trees=1)["items"].collect()] == [1]

@@ -82,6 +82,38 @@ def test_report_with_a_class_never_predicted(spark):
     assert report["weighted avg"]["support"] == 4
 
 
+def test_merged_logs_keep_all_metric_columns(spark):
+    log = spark.createDataFrame(
+        [(1.0, 1, 0.5, None, 1e-3, None, 10.0), (1.0, 1, None, 0.4, None, 0.9, 3.0), (2.0, 2, 0.3, None, 1e-4, None, 11.0)],
+        "epoch double, step long, loss double, eval_loss double, lr double, eval_f1 double, runtime double",
+    )
+    merged = joins.merge_logs(log)
+    assert rows(merged, "epoch", "step", "loss", "lr", "runtime_train", "eval_loss", "eval_f1", "runtime_valid") == [(1.0, 1, 0.5, 1e-3, 10.0, 0.4, 0.9, 3.0)]
+    assert "runtime" not in merged.columns
+
+
+def test_neighbours_without_document_or_class_stay(spark):
+    near = spark.createDataFrame([(1, 10, 0.1), (1, 11, 0.2), (1, 12, 0.3)], "query_id long, item_id long, distance double")
+    documents = spark.createDataFrame([(10, "a", 0), (11, "b", 7)], "doc_id long, text string, target int")
+    classes = spark.createDataFrame([(0, "news")], "target int, target_name string")
+    found = joins.lookup_neighbours(near, documents, classes)
+    assert rows(found, "item_id", "text", "target", "target_name") == [(10, "a", 0, "news"), (11, "b", 7, None), (12, None, None, None)]
+
+
+def test_unknown_predictions_are_counted(spark):
+    df = spark.createDataFrame([(0, 1), (0, 9), (0, None), (1, 0)], "y int, p int")
+    assert rows(metrics.confusion_matrix(df, "y", "p", [0, 1]), "label", "pred_0", "pred_1", "pred_other") == [(0, 0, 1, 2), (1, 1, 0, 0)]
+
+
+def test_entity_scores_without_spans_and_with_colons(spark):
+    names = ["O", "B-a:b", "I-a:b", "B-a:c"]
+    none = spark.createDataFrame([([0, 0], [0, 0])], "pred array<int>, label array<int>")
+    for df in (none, none.limit(0)):
+        assert [tuple(r)[:4] for r in spans.entity_scores(df, names=names).collect()] == [("micro", 0, 0, 0)]
+    df = spark.createDataFrame([([1, 2, 0, 3], [1, 2, 0, 1])], "pred array<int>, label array<int>")
+    assert rows(spans.entity_scores(df, names=names), "type", "true_spans", "predicted_spans", "matched_spans") == [("a:b", 2, 1, 1), ("a:c", 0, 1, 0), ("micro", 2, 2, 1)]
+
+
 def test_confusion_matrix(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, -1)], "y int, p int")
     assert rows(metrics.confusion_matrix(df, "y", "p", [-1, 0, 1]), "label", "pred_minus_1", "pred_0", "pred_1") == [(0, 0, 1, 1), (1, 1, 0, 0)]

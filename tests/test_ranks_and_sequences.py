@@ -130,3 +130,24 @@ def test_packing_is_the_stream_cut_into_blocks(spark, rows, block):
     assert [t for b in sorted(whole) for t in whole[b]] == stream
     full = sequences.pack_sequences(df, "id", block=block).collect()
     assert len(full) == len(stream) // block and all(len(r["input_ids"]) == block for r in full)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_ranks_of_keys_that_are_no_numbers(spark, partitions):
+    texts = [f"{w}-{i}" for i, w in enumerate(["é", "z", "A", "", "日", "a\u0000b"] * 40)] + [None]
+    df = spark.createDataFrame([(t, len(t or "")) for t in texts], "k string, n int").repartition(partitions)
+    ordered = sorted(texts, key=lambda t: (t is not None, (t or "").encode()))
+    assert {r["k"]: r["rank"] for r in ranks.global_rank(df, "k").collect()} == {t: i for i, t in enumerate(ordered, 1)}
+    sums, total = {}, 0
+    for t in ordered:
+        sums[t], total = total, total + len(t or "")
+    assert {r["k"]: r["offset"] for r in ranks.prefix_offsets(df, "k", "n").collect()} == sums
+    days = spark.sql("select date_add(date'2020-01-01', cast(id * 37 % 500 as int)) as d from range(500)")
+    assert {r["d"].toordinal(): r["batch"] for r in ranks.batch_index(days, "d", 64).collect()} == {737425 + i: i // 64 for i in range(500)}
+
+
+def test_packing_by_a_text_key(spark):
+    df = spark.createDataFrame([(f"k{9 - i}", [i] * (i + 1)) for i in range(9)], "id string, input_ids array<int>")
+    blocks = sequences.pack_sequences(df, "id", block=7, drop_last=False).orderBy("block").collect()
+    whole = [x for i in reversed(range(9)) for x in [*[i] * (i + 1), 3]]
+    assert [x for r in blocks for x in r["input_ids"]] == whole
