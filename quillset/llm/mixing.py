@@ -28,7 +28,9 @@ from quillset.session import broadcast_if_small, materialise
 
 #: Labelled texts of each domain, about, that the classifier is fitted on; they are drawn by a hash of the id.
 PER_DOMAIN = 1500
-RIDGE, STEPS, TOLERANCE = 0.001, 60, 0.001
+RIDGE, STEPS, TOLERANCE = 0.001, 40, 0.005
+#: Share of the largest possible mix that a mix without repeats takes; the rest leaves room for texts between domains.
+ONCE = 0.97
 
 
 def label_domain() -> Column:
@@ -63,13 +65,15 @@ def posteriors(docs: DataFrame, labelled: DataFrame, key: str, text: str, per_do
                 yield pa.RecordBatch.from_arrays([batch.column("domain"), flat], names=["domain", "features"])
 
         rows = materialise(sample.mapInArrow(featured, "domain string, features array<float>"), "domain-sample")
-        seen = sorted(r[0] for r in rows.select("domain").distinct().collect())
-        domains = seen or domains[:1]
+        seen = {r[0]: r[1] for r in rows.groupBy("domain").count().collect()}
+        domains = sorted(seen) or domains[:1]
         if len(domains) > 1:
             index = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
             rows = rows.select(array_to_vector("features").alias("x"), index.cast("double").alias("y"))
             fitted = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", maxIter=60, regParam=0.01).fit(rows)
-            weights, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+            # the sample has as many texts of a rare domain as of a common one; the labelled table says how common it is
+            common = np.log([counts[d] / seen[d] for d in domains])
+            weights, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray() + common
     known = len(domains) > 1
     domains = domains or ["all"]
 
@@ -89,10 +93,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, key: str, text: str, per_do
     return materialise(rows.mapInArrow(run, f"id {kind}, n_tokens long, p array<double>"), "posteriors"), domains
 
 
-def fitted_rates(known: DataFrame, domains: list[str], target: dict[str, float]) -> DataFrame:
+def fitted_rates(known: DataFrame, domains: list[str], target: dict[str, float], once: bool = False) -> DataFrame:
     """``known`` (n_tokens, p) with the column rate.
 
-    The mix is as large as the corpus. Targets that the posteriors cannot meet to TOLERANCE give a warning. A target without a domain in the data is left out; if no wanted domain is there, all
+    The mix is as large as the corpus; with ``once`` no rate is above 1, and the mix is nearly the largest one that the
+    scarcest domain allows. Targets that the posteriors cannot meet to TOLERANCE give a warning. A target without a domain in the data is left out; if no wanted domain is there, all
     rates are 1.
     """
     size = len(domains)
@@ -102,40 +107,41 @@ def fitted_rates(known: DataFrame, domains: list[str], target: dict[str, float])
     want = np.where(have > 0, want, 0)
     if not want.sum():
         return known.withColumn("rate", F.lit(1.0))
-    wanted = want / want.sum() * have.sum()
+    size_of_mix = ONCE * (have / np.where(want > 0, want / want.sum(), np.inf))[want > 0].min() if once else have.sum()
+    wanted = want / want.sum() * size_of_mix
     rate, step = F.lit(1.0), 1 / (1 + RIDGE)
-    got = have
+    got, before = have, have * 2
     for step_number in range(STEPS + 1):
         slope = np.divide(got - wanted, have, out=np.zeros(size), where=have > 0)
         if np.abs(got - wanted).max() <= TOLERANCE * have.sum():
             break
-        if step_number == STEPS:
-            warnings.warn(f"after {STEPS} steps the mix has {dict(zip(domains, got / have.sum()))} of the corpus, wanted {dict(zip(domains, wanted / have.sum()))}", stacklevel=2)
+        if step_number == STEPS or np.abs(got - before).max() < 0.02 * TOLERANCE * have.sum():
+            warnings.warn(f"after {step_number} steps the mix has {dict(zip(domains, got / have.sum()))} of the corpus, wanted {dict(zip(domains, wanted / have.sum()))}", stacklevel=2)
             break
         pull = sum((F.col("p")[k] * float(slope[k] * step) for k in range(size)), F.lit(RIDGE * -step))
         rate = F.greatest(F.lit(0.0), rate * (1 - RIDGE * step) - pull)
+        rate = F.least(F.lit(1.0), rate) if once else rate
         sums = known.withColumn("rate", rate).agg(*[F.sum(F.col("n_tokens") * F.col("p")[k] * F.col("rate")) for k in range(size)]).first()
-        got = np.array([float(s or 0) for s in sums])
+        got, before = np.array([float(s or 0) for s in sums]), got
     return known.withColumn("rate", rate)
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, target: dict[str, float] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, target: dict[str, float] | None = None, key: str = "doc_id", text: str = "text", once: bool = False) -> DataFrame:
     """Per document: key, n_tokens, its likeliest domain and that domain's probability, rate.
 
     ``labelled`` has ``key`` and ``domain``. Null and empty texts have no tokens; their rate is that of their posterior.
     Repeated rows get equal rates. Other columns are not read.
     """
     known, domains = posteriors(docs, labelled, key, text)
-    rows = fitted_rates(known, domains, TARGET if target is None else target)
+    rows = fitted_rates(known, domains, TARGET if target is None else target, once)
     best = F.array_position("p", F.array_max("p")).cast("int")
     names = F.array(*[F.lit(d) for d in domains])
     return rows.select(F.col("id").alias(key), "n_tokens", F.element_at(names, best).alias("domain"), F.array_max("p").alias("probability"), "rate")
 
 
 def keep_mixed(docs: DataFrame, labelled: DataFrame, target: dict[str, float] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, of a mix that has no document twice: each with its rate as a share of the largest
-    rate, drawn by a hash of the key, so that the kept rows have the mix's proportions. Keys are unique."""
-    rates = materialise(mixed(docs, labelled, target, key, text), "rates")
-    most = rates.agg(F.max("rate")).first()[0] or 1.0
-    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(29)), F.lit(1 << 30)) < F.col("rate") * ((1 << 30) / most)
+    """The rows of ``docs``, all columns, of a mix that has no document twice: rates are fitted below 1 and are the chance
+    to stay, drawn by a hash of the key, so that the kept rows have the targets' proportions. Keys are unique."""
+    rates = mixed(docs, labelled, target, key, text, once=True)
+    drawn = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(29)), F.lit(1 << 30)) < F.col("rate") * (1 << 30)
     return rows_with_keys(docs, rates.filter(drawn), key)

@@ -175,7 +175,10 @@ def test_mixing_meets_its_targets(spark, empty):
         got = (n[:, None] * p * r[:, None]).sum(axis=0)
         r = np.maximum(0, r - (p @ ((got - want) / have) + mixing.RIDGE * (r - 1)) / (1 + mixing.RIDGE))
     exact = (n[:, None] * p * r[:, None]).sum(axis=0)
-    assert np.allclose(exact / exact.sum(), np.array(sums) / sum(sums), atol=0.005)
+    assert np.allclose(exact / exact.sum(), np.array(sums) / sum(sums), atol=2 * mixing.TOLERANCE)
+    once = mixing.fitted_rates(known, domains, {"good": 0.7, "poor": 0.2, "toxic": 0.1}, once=True)
+    sums = [r for r in once.agg(*[F.sum(F.expr(f"n_tokens * p[{k}] * rate")) for k in range(3)]).first()]
+    assert np.allclose(np.array(sums) / sum(sums), [0.7, 0.2, 0.1], atol=0.01) and once.filter("rate > 1").count() == 0
     kept = mixing.keep_mixed(docs.withColumn("rate", F.lit("mine")).withColumn("kept_0", F.lit(1)), labels, target)
     assert kept.columns == ["doc_id", "text", "rate", "kept_0"] and 0 < kept.count() < 402
     again = docs.union(docs.filter("doc_id < 5"))
