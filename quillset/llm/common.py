@@ -40,7 +40,7 @@ class Cache(dict):
     than 64 characters are computed each time.
     """
 
-    def __init__(self, compute: Callable[[str], object], limit: int = 16 << 20):
+    def __init__(self, compute: Callable[[str], object], limit: int = 48 << 20):
         super().__init__()
         self.compute, self.limit, self.held, self.older = compute, limit, 0, {}
 

@@ -58,7 +58,7 @@ class Pieces:
         self.chunk = self.long_chunk = at_marks
         if marks_end_nothing and letters_apart:
             self.chunk = re.compile(rf"{alone_class}{MARK}*[^\W\d_]+|{MARK}*(?:(?![^\W\d_])[^{MARK}{alone_not}])+|{MARK}+")
-        self.counts = Cache(self.merge, 32 << 20)
+        self.counts = Cache(self.merge, 80 << 20)
 
     def merge(self, chunk: str) -> int:
         """Tokens of one chunk."""
