@@ -3,6 +3,7 @@
 import hashlib
 import re
 import random
+import time
 
 import numpy as np
 import pytest
@@ -319,3 +320,39 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in components(texts).items() if i == c} and kept.columns == columns
     kept = corpus_pipeline.mix(spark, docs, sf_dir)
     assert kept.columns == columns and 0 < kept.count() <= docs.count()
+
+
+def test_main_text_of_odd_markup():
+    cases = {
+        "<p title=it's>one</p><p>two</p><p>it's three</p>": "one\n\ntwo\n\nit's three",
+        '<p class="x>hello': "hello",
+        '<p class="x>hello</p><p>more</p>': "hello\n\nmore",
+        '<p title="a>b">c': "c",
+        '<p>a <span class="advert">AD</span>b <ins class="adsbygoogle">X<b>y</b></ins>c': "a b c",
+        '<p><span hidden>h<span>i</span></span>d <span style="display: none">n</span>e</p><p>f</p>': "d e\n\nf",
+        "<p><span hidden>never closed</p><p>yes</p>": "yes",
+        '<p>x <code class="comment">kept</code></p>': "x kept",
+        "<div><svg/><p>t</p><svg><text>no</text></svg>x<select><p>y</div>": "t\n\nx\n\ny",
+        "a < b and <3 x": "a < b and <3 x",
+        "<SCRIPT>no</script >yes": "yes",
+        '<article><div class="discussion"><p>d</p></div><div class="legal-analysis"><p>l</p></div><section class="related-work"><p>r</p></section>'
+        '<div class="related-posts">no</div><div class="legal-notice">no</div><div class="share">no</div></article>': "d\n\nl\n\nr",
+    }
+    assert {html: htmltext.main_text(html) for html in cases} == cases
+
+
+def test_main_text_is_linear_in_depth_and_length():
+    def seconds(html: str) -> float:
+        start = time.perf_counter()
+        htmltext.main_text(html, "div>div")
+        return time.perf_counter() - start
+
+    for part in ("<div>", "<div class=a><p>x<li>", "<select><p 'a=\"b", "<svg><i>"):
+        assert seconds(part * 80_000) < 16 * seconds(part * 10_000) + 1
+    assert htmltext.main_text("<div>" * 50_000 + "deep" + "</div>" * 50_000 + "x" * 100) == "deep\n\n" + "x" * 100
+
+
+def test_extract_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string, host string, path string")
+    found = htmltext.extract(none)
+    assert found.count() == 0 and found.columns == ["page_id", "url", "text", "n_chars"]
