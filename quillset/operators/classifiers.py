@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -13,14 +15,15 @@ from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, StopWordsRemover,
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from quillset.functions.answers import argmax
+from quillset.functions.answers import argmax, ids_to_labels
 from quillset.functions.fixed_values import ENTITY_LABELS, MASKED_LABEL
 from quillset.functions.text import STOPWORDS, words
-from quillset.operators.metrics import choice_scores
+from quillset.operators.decoding import Transitions, count_transitions, decode, transition_weights
+from quillset.operators.metrics import choice_scores, token_accuracy
 from quillset.operators.rows import explode_rows, posexplode_rows
-from quillset.operators.spans import span_array
+from quillset.operators.spans import entity_scores, span_array
+from quillset.session import materialise
 
 
 def text_classifier(dim: int = 1 << 14, reg_param: float = 0.01, max_iter: int = 20) -> Pipeline:
@@ -118,11 +121,58 @@ def tag_tokens(
     )
 
 
+def sequence_weights(
+    model: PipelineModel, sentences: DataFrame, labels: str, names: Sequence[str] = ENTITY_LABELS
+) -> Transitions:
+    """Step weights of the training tags for the labels that the model knows."""
+    return transition_weights(count_transitions(sentences, labels), names[: model.stages[-1].numClasses])
+
+
+def tag_sentences(
+    model: PipelineModel, weights: Transitions, sentences: DataFrame, key: str, tokens: str, labels: str | None = None
+) -> DataFrame:
+    """Sentences decoded as wholes: (key, tokens, [labels,] pred, scores), label ids and the model's chance of each.
+
+    Keys are unique; a sentence without tokens has no row. One shuffle brings a sentence's tokens together again.
+    """
+    columns = [key, tokens, *([labels] if labels else [])]
+    scored = model.transform(token_features(sentences.select(*columns), tokens, labels))
+    cell = F.struct("pos", "token", *(["label"] if labels else []), vector_to_array("probability").alias("p"))
+    whole = scored.groupBy(key).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    whole = whole.select(
+        key,
+        F.col("_cells.token").alias(tokens),
+        *([F.col("_cells.label").alias(labels)] if labels else []),
+        F.flatten(F.col("_cells.p")).alias("_chances"),
+    )
+    return decode(whole, "_chances", weights, "pred", "scores").drop("_chances")
+
+
+def evaluate_tags(tagged: DataFrame, labels: str, names: Sequence[str] = ENTITY_LABELS) -> DataFrame:
+    """One row for decoded sentences: accuracy and error rate of tokens; precision, recall and F1 of whole entities."""
+    tagged = materialise(tagged.select("pred", labels), "tagged")
+    tokens = token_accuracy(tagged, "pred", labels).select("accuracy", (1 - F.col("accuracy")).alias("error_rate"))
+    entities = entity_scores(tagged, "pred", labels, names).filter("type = 'micro'").select("precision", "recall", "f1")
+    return tokens.join(F.broadcast(entities))  # one row each
+
+
 def tag_entities(
-    model: PipelineModel, texts: DataFrame, key: str, text: str, names: Sequence[str] = ENTITY_LABELS
+    model: PipelineModel,
+    texts: DataFrame,
+    key: str,
+    text: str,
+    names: Sequence[str] = ENTITY_LABELS,
+    weights: Transitions | None = None,
 ) -> DataFrame:
-    """Words tagged as part of an entity: (key, pos, token, label, score)."""
-    return tag_tokens(model, texts, key, text, names).filter(F.col("label") != names[0])
+    """Words tagged as part of an entity: (key, pos, token, label, score). With step weights, the tags of a text are its
+    best path, in which an entity only goes on where one of its type began; without, each word has its own best tag."""
+    if weights is None:
+        return tag_tokens(model, texts, key, text, names).filter(F.col("label") != names[0])
+    tagged = tag_sentences(model, weights, texts.select(key, words(F.col(text)).alias("tokens")), key, "tokens")
+    cells = F.arrays_zip(
+        F.col("tokens").alias("token"), ids_to_labels(F.col("pred"), names).alias("label"), F.col("scores").alias("score")
+    )
+    return posexplode_rows(tagged, cells, "pos", "c", key).select(key, "pos", "c.*").filter(F.col("label") != names[0])
 
 
 def entity_spans(tagged: DataFrame, tokens: str, tags: str, key: str) -> DataFrame:
@@ -151,6 +201,59 @@ def draw_trials(space: dict[str, tuple], n_trials: int, seed: int) -> list[dict]
     return trials
 
 
+def guided_trial(
+    space: dict[str, tuple], known: Sequence[tuple[dict, float]], seed: int, good_share: float = 0.25, draws: int = 24
+) -> dict:
+    """The next trial: per parameter, of ``draws`` values from the density of the good trials the one whose density among
+    them is largest against that among the others. ``known`` holds trials and losses; losses that are no numbers are bad.
+
+    A range has a normal kernel per trial on the log scale, as wide as its neighbours are away, and one over the whole
+    range; choices have their counts plus one.
+    """
+    if not known:
+        return draw_trials(space, 1, seed)[0]
+    draw = random.Random(seed)
+    ranked = sorted(known, key=lambda pair: pair[1] if math.isfinite(pair[1]) else math.inf)
+    cut = max(1, math.ceil(good_share * len(ranked)))
+    good, bad = [t for t, _ in ranked[:cut]], [t for t, _ in ranked[cut:]]
+    trial = {}
+    for name, spec in space.items():
+        if spec[0] == "log":
+            low, high = math.log(spec[1]), math.log(spec[2])
+            if high <= low:
+                trial[name] = spec[1]
+                continue
+            fine = _kernels([math.log(t[name]) for t in good], low, high)
+            coarse = _kernels([math.log(t[name]) for t in bad], low, high)
+            values = []
+            for _ in range(draws):
+                centre, width = draw.choice(fine)
+                values.append(min(max(draw.gauss(centre, width), low), high))
+            best = max(values, key=lambda v: math.log(_density(v, fine)) - math.log(_density(v, coarse)))
+            trial[name] = min(max(math.exp(best), spec[1]), spec[2])
+        else:
+            choices = list(spec[1])
+            fine = [1 + sum(t[name] == c for t in good) for c in choices]
+            coarse = [1 + sum(t[name] == c for t in bad) for c in choices]
+            at = max(draw.choices(range(len(choices)), fine, k=draws), key=lambda i: fine[i] / coarse[i])
+            trial[name] = choices[at]
+    return trial
+
+
+def _kernels(points: Sequence[float], low: float, high: float) -> list[tuple[float, float]]:
+    ordered = sorted(points)
+    edges = [low, *ordered, high]
+    least = (high - low) / min(100, 1 + len(edges))
+    found = [((low + high) / 2, high - low)]
+    for i, point in enumerate(ordered, 1):
+        found.append((point, min(max(point - edges[i - 1], edges[i + 1] - point, least), high - low)))
+    return found
+
+
+def _density(value: float, kernels: Sequence[tuple[float, float]]) -> float:
+    return sum(math.exp(-0.5 * ((value - c) / w) ** 2) / w for c, w in kernels) / len(kernels) + 1e-300
+
+
 def hyperparameter_search(
     make_estimator: Callable[[], Estimator],
     to_param_map: Callable[[Estimator, dict], dict],
@@ -159,25 +262,59 @@ def hyperparameter_search(
     space: dict[str, tuple],
     n_trials: int = 5,
     seed: int = 42,
+    startup: int = 3,
+    parallel: int = 2,
 ) -> DataFrame:
-    """Fit one model per trial and measure its log loss on the validation split: (trial, params, loss, is_best)."""
+    """Fit one model per trial and measure its log loss on the validation split: (trial, params, choices, loss, is_best).
+
+    The first ``startup`` trials are drawn at random, each later one by ``guided_trial`` from the losses of the rounds
+    before; ``parallel`` trials make a round and are fitted at once. The stages before the last of a pipeline are fitted
+    once per setting of theirs, and what they yield is written once. ``params`` holds numbers, ``choices`` all else as text.
+    """
     estimator = make_estimator()
-    trials = draw_trials(space, n_trials, seed)
-    maps = [to_param_map(estimator, trial) for trial in trials]
-    evaluator = MulticlassClassificationEvaluator(metricName="logLoss")
-    # The inputs are read once per trial; blocks lost with an executor are computed again from their source.
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        losses: list[float] = [0.0] * n_trials
-        for index, model in estimator.fitMultiple(train, maps):
-            losses[index] = float(evaluator.evaluate(model.transform(validation)))
-    finally:
-        train.unpersist()
-        validation.unpersist()
-    best = losses.index(min(losses))
+    last = estimator.getStages()[-1] if isinstance(estimator, Pipeline) else estimator
+    evaluator = MulticlassClassificationEvaluator(metricName="logLoss", labelCol=last.getLabelCol())
+    prepared: dict[frozenset, tuple[DataFrame, DataFrame]] = {}
+
+    def inputs(settings: dict) -> tuple[DataFrame, DataFrame]:
+        """Both splits as the last stage reads them, under the settings of the stages before it."""
+        if not isinstance(estimator, Pipeline) or len(estimator.getStages()) == 1:
+            return train, validation
+        name = frozenset((p.parent, p.name, repr(v)) for p, v in settings.items())
+        if name not in prepared:
+            model = Pipeline(stages=estimator.getStages()[:-1]).copy(settings).fit(train)
+            columns = [last.getLabelCol(), last.getFeaturesCol()]
+            prepared[name] = tuple(
+                materialise(model.transform(split).select(*columns), "prepared") for split in (train, validation)
+            )
+        return prepared[name]
+
+    def loss_of(settings: dict, splits: tuple[DataFrame, DataFrame]) -> float:
+        return float(evaluator.evaluate(last.fit(splits[0], settings).transform(splits[1])))
+
+    trials, losses = draw_trials(space, min(startup, n_trials), seed), []
+    with ThreadPoolExecutor(parallel) as pool:  # the threads only hand jobs to Spark
+        while len(losses) < n_trials:
+            if len(losses) == len(trials):
+                known = list(zip(trials, losses))
+                room = min(parallel, n_trials - len(trials))
+                trials += [guided_trial(space, known, seed + len(trials) + i) for i in range(room)]
+            jobs = []
+            for trial in trials[len(losses) :]:
+                settings = to_param_map(estimator, trial)
+                own = {p: v for p, v in settings.items() if p.parent == last.uid}
+                splits = inputs({p: v for p, v in settings.items() if p.parent != last.uid})
+                jobs.append(pool.submit(inheritable_thread_target(train.sparkSession)(loss_of), own, splits))
+            losses += [job.result() for job in jobs]
+    finite = [loss if math.isfinite(loss) else math.inf for loss in losses]
+    best = finite.index(min(finite)) if finite else -1
     rows = [
-        (i, {name: float(value) for name, value in trial.items()}, losses[i], i == best)
-        for i, trial in enumerate(trials)
+        (i, {n: float(v) for n, v in t.items() if _is_number(v)}, {n: str(v) for n, v in t.items() if not _is_number(v)}, losses[i], i == best)
+        for i, t in enumerate(trials)
     ]
-    return train.sparkSession.createDataFrame(rows, "trial int, params map<string,double>, loss double, is_best boolean")
+    schema = "trial int, params map<string,double>, choices map<string,string>, loss double, is_best boolean"
+    return train.sparkSession.createDataFrame(rows, schema)
+
+
+def _is_number(value: object) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, bool)

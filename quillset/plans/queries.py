@@ -612,20 +612,18 @@ def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = ranks.train_test_split(fixtures.named_words(spark, sf_dir), "sent_id", 0.2, SEED)
-    model = classifiers.train_token_classifier(
-        sentences.filter("split = 'train'"), "tokens", "tags"
-    )
-    rows = classifiers.token_features(
-        sentences.filter("split = 'test'").select("sent_id", "tokens", "tags"), "tokens", "tags"
-    )
-    return classifiers.evaluate(model, rows)
+    train, test = sentences.filter("split = 'train'"), sentences.filter("split = 'test'")
+    model = classifiers.train_token_classifier(train, "tokens", "tags")
+    weights = classifiers.sequence_weights(model, train, "tags")
+    return classifiers.evaluate_tags(classifiers.tag_sentences(model, weights, test, "sent_id", "tokens", "tags"), "tags")
 
 
 def m5_tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentences = fixtures.named_words(spark, sf_dir)
     model = classifiers.train_token_classifier(sentences, "tokens", "tags")
+    weights = classifiers.sequence_weights(model, sentences, "tags")
     benchmark = fixtures.table(spark, sf_dir, "benchmark")
-    return classifiers.tag_entities(model, benchmark, "item_id", "text")
+    return classifiers.tag_entities(model, benchmark, "item_id", "text", weights=weights)
 
 
 def m6_hyperparameter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
