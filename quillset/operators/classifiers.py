@@ -100,13 +100,11 @@ def train_token_classifier(
 ) -> PipelineModel:
     """Multinomial regression over hashed token features; masked positions are left out."""
     rows = token_features(sentences.select(tokens, labels), tokens, labels).filter(F.col("label") != MASKED_LABEL)
-    pipeline = Pipeline(
-        stages=[
-            FeatureHasher(inputCols=_TOKEN_FEATURES, outputCol="features", numFeatures=dim),
-            LogisticRegression(family="multinomial", regParam=reg_param, maxIter=max_iter),
-        ]
-    )
-    return pipeline.fit(rows)
+    hasher = FeatureHasher(inputCols=_TOKEN_FEATURES, outputCol="features", numFeatures=dim)
+    # the regression reads its input more than once, so the hashed features are written once
+    hashed = materialise(hasher.transform(rows).select("label", "features"), "token-features")
+    regression = LogisticRegression(family="multinomial", regParam=reg_param, maxIter=max_iter).fit(hashed)
+    return PipelineModel(stages=[hasher, regression])
 
 
 def tag_tokens(

@@ -52,7 +52,7 @@ def s1_read_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s2_read_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.write_results_csv(fixtures.reviews(spark, sf_dir), scratch_path(spark, "reviews"))
-    return tables.read_reviews_csv(spark, path)
+    return tables.read_reviews_csv(spark, path, cut_files=True)
 
 
 def s3_load_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from quillset.contracts import REVIEWS, require_columns
 from quillset.functions.fixed_values import NULL_TOKENS
 from quillset.operators.projections import class_dimension
 from quillset.session import broadcast_if_small, spread
+from quillset.sources.csv_splits import read_split_csv
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -31,21 +32,29 @@ def null_token_as_null(cell: Column, null_tokens: Sequence[str] = NULL_TOKENS) -
 
 
 def read_reviews_csv(
-    spark: SparkSession, path: str, schema: T.StructType = REVIEWS, null_tokens: Sequence[str] = NULL_TOKENS
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = REVIEWS,
+    null_tokens: Sequence[str] = NULL_TOKENS,
+    cut_files: bool = False,
 ) -> DataFrame:
     """CSV with header and quoted cells; null tokens become null before the cells are cast.
 
-    A CSV file with line breaks inside cells cannot be cut, so each file is one task: keep files small.
+    Spark's own reader takes each file in one task, as line breaks may lie inside cells. With ``cut_files`` large files
+    are read in many tasks; quotes must then stand around cells only.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(as_text)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    if cut_files:
+        raw = read_split_csv(spark, path, as_text)
+    else:
+        raw = (
+            spark.read.schema(as_text)
+            .option("header", True)
+            .option("multiLine", True)
+            .option("escape", '"')
+            .option("enforceSchema", False)
+            .csv(path)
+        )
     return raw.select(
         *[null_token_as_null(F.col(f.name), null_tokens).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
