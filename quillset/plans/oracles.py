@@ -373,4 +373,6 @@ ORACLES: dict[str, str] = {
     "m1_score_batches": _with(MCQ, f"answered as (select id, 'Option ' || (length({M1_TEXT}) % 5) || ' of 9' as answer from mcq where {SINGLE})")
     + f"select id, answer, {PARSE} as prediction from answered",
     "m1_score_with_errors": _with(MCQ) + f"select id, 'Option ' || (length({EXAM_PROMPT}) % 5) || ' of 9' as answer, cast(null as varchar) as error from mcq",
+    "m1_scored_run": _with(MCQ) + f"select count(*) as samples, count({EXAM_PROMPT}) as answers, true as timed from mcq",
 }
+ORACLES["a2_custom_metric"] = ORACLES["a2_choice_scores"]

@@ -16,7 +16,7 @@ from quillset.functions import vectors as vec
 from quillset.functions.fixed_values import ENTITY_LABELS, MASKED_LABEL
 from quillset.functions.text import basic_tokens, preprocess_text
 from quillset.functions.tokens import align_labels
-from quillset.operators import classifiers, embedding, forest, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
+from quillset.operators import classifiers, custom_metrics, embedding, forest, joins, logs, metrics, nearest, projections, ranks, scoring, sequences, spans
 from quillset.operators.rows import explode_rows
 from quillset.plans import evaluation, fixtures, retrieval, training_sets
 from quillset.session import broadcast_if_small, materialise, scratch_path
@@ -328,6 +328,11 @@ def a2_choice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(*[rounded(F.col(c)).alias(c) for c in scores.columns])
 
 
+def a2_custom_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = custom_metrics.custom_metric(_predicted(spark, sf_dir), custom_metrics.ChoiceTally())
+    return scores.select(*[rounded(F.col(c)).alias(c) for c in scores.columns])
+
+
 def a3_match_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.evaluate_matches(fixtures.mcq_answered(spark, sf_dir))
 
@@ -595,6 +600,13 @@ def m1_score_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_batches_with_errors(prompted, "prompt", make_length_scorer).select("id", "answer", "error")
 
 
+def m1_scored_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prompted = fixtures.mcq(spark, sf_dir).select("id", pr.exam_prompt().alias("prompt"))
+    written, log = scoring.score_to_table(prompted, "prompt", make_length_scorer, scratch_path(spark, "scored"))
+    stored = written.agg(F.count("answer").alias("answers"))  # one row, as the log
+    return log.join(F.broadcast(stored)).select("samples", "answers", (F.col("per_second") > 0).alias("timed"))
+
+
 def m2_train_text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset = _stored_reviews(spark, sf_dir)
     _, scores = classifiers.train_text_classifier(
