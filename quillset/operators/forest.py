@@ -10,6 +10,9 @@ A query keeps a queue of nodes over all trees, ordered by the least distance to
 path lies. It goes on until the leaves met hold the wanted number of items. The number is found when the index is built,
 by measuring on some of its own vectors how far the queue has to go for the wanted recall.
 
+Where many queries each meet a good part of all items, rows for what they meet would grow with the square of the input. The
+leaves of a query are then one string of bits, chosen in the task that reads it, and bits and vectors meet in cells.
+
 The tables under the index's folder are written once; a manifest goes last, and a folder without it cannot be opened.
 """
 
@@ -26,8 +29,9 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quillset.operators.nearest import _matrix, block_top_k, knn_exact
+from quillset.operators.nearest import _HITS, STEP_ITEMS, STEP_QUERIES, _matrix, block_top_k, cell_top_k, in_cells, knn_exact
 from quillset.operators.ranks import top_k_per_query
 from quillset.session import broadcast_if_small, materialise, scratch_path
 
@@ -44,6 +48,10 @@ PARTS = 64
 #: Vectors that the number of candidates is measured with, and the leaves of a tree that their queues go through at most.
 TUNING_QUERIES, TUNING_LEAVES = 64, 4096
 
+#: Candidates of all queries that may become rows, and the share of the items that a query's candidates are then at least,
+#: for queries and items to meet in cells. The planes of the whole forest are then shipped, these bytes at most.
+PAIRS, CROWDED, FOREST_BYTES = 20_000_000, 1 / 16, 256 << 20
+
 _TIER = "tree int, node string, planes array<array<float>>, offsets array<float>, children array<int>"
 
 
@@ -415,6 +423,213 @@ def _gone_into(met: DataFrame, queries: DataFrame, subtrees: DataFrame, leaves_e
     return left.groupBy("tree", "node", "cell").cogroup(right.groupBy("tree", "node", "cell")).applyInArrow(down, "query_id bigint, tree int, node string, priority double")
 
 
+# ---------------------------------------------------------------- crowded searches
+
+
+def crowded(index: dict, n_queries: int, wanted: int) -> bool:
+    """Whether queries have so many candidates that they meet the items in cells and not leaf by leaf."""
+    items = index["manifest"]["items"]
+    if n_queries * min(wanted, items) <= PAIRS or wanted < CROWDED * items:
+        return False
+    dim = F.max(F.coalesce(F.size(F.get("planes", F.lit(0))), F.lit(0)))
+    planes, dim = index["tiers"].agg(F.sum(F.size("offsets")), dim).first()
+    return planes * dim * 4 <= FOREST_BYTES
+
+
+@dataclass
+class Forest:
+    """All tiers of all trees. Node 0 stands above the roots; parents come before their children, and the nodes of a level
+    lie together. Leaves are numbered by tree and path; those without items are left out."""
+
+    planes: np.ndarray
+    offsets: np.ndarray
+    levels: list[tuple[int, int]]
+    above: np.ndarray
+    sides: np.ndarray
+    leaf_above: np.ndarray
+    leaf_sides: np.ndarray
+    names: list[tuple[int, str]]
+    sizes: np.ndarray
+
+    def plain(self) -> tuple:
+        return self.planes, self.offsets, self.levels, self.above, self.sides, self.leaf_above, self.leaf_sides, self.sizes
+
+
+def whole_forest(index: dict) -> Forest:
+    """The tiers put together: FOREST_BYTES at most where ``crowded`` was asked before."""
+    subtrees: dict[tuple[int, str], Subtree] = {}
+    table = index["tiers"].select("tree", "node", "planes", "offsets", "children").toArrow()
+    for i in range(table.num_rows):
+        planes, offsets = table.column("planes")[i].values, table.column("offsets")[i].values.to_numpy(zero_copy_only=False)
+        flat = planes.flatten().to_numpy(zero_copy_only=False) if len(planes) else np.zeros(0, np.float32)
+        subtree = Subtree.of(flat.reshape(len(offsets), -1) if len(offsets) else [], offsets, table.column("children")[i].as_py())
+        subtrees[table.column("tree")[i].as_py(), table.column("node")[i].as_py()] = subtree
+    below = {(r["tree"], r["leaf"]): r["n"] for r in index["leaves"].select("tree", "leaf", "n").toArrow().to_pylist()}
+
+    planes, offsets, above, sides, levels = [None], [-math.inf], [0], [1.0], []
+    leaves: list[tuple[tuple[int, str], int, float]] = []
+    # (subtree, its node or -1 - its leaf, the path to the subtree, tree, parent, side)
+    todo = [(subtrees[key], 0 if len(subtrees[key].children) else -1, "", key[0], 0, 1.0) for key in sorted(subtrees) if key[1] == ""]
+    while todo:
+        level, begin = [], len(offsets)
+        for subtree, node, path, tree, parent, side in todo:  # grows while it is gone through
+            if node < 0:
+                whole = path + subtree.paths[-1 - node]
+                deeper = subtrees.get((tree, whole)) if whole else None
+                if deeper is not None and len(deeper.children):
+                    todo.append((deeper, 0, whole, tree, parent, side))
+                else:
+                    leaves.append(((tree, whole), parent, side))
+                continue
+            own = len(offsets)
+            planes.append(subtree.planes[node])
+            offsets.append(subtree.offsets[node])
+            above.append(parent)
+            sides.append(side)
+            lower, upper = subtree.children[node]
+            level += [(subtree, int(lower), path, tree, own, -1.0), (subtree, int(upper), path, tree, own, 1.0)]
+        if len(offsets) > begin:
+            levels.append((begin, len(offsets)))
+        todo = level
+    leaves = sorted(leaf for leaf in leaves if below.get(leaf[0]))
+    dim = len(planes[1]) if len(planes) > 1 else index["items"].select(F.size("vector")).first()[0]
+    planes[0] = np.zeros(dim)
+    return Forest(
+        np.asarray(planes, dtype=np.float32), np.asarray(offsets), levels, np.asarray(above), np.asarray(sides),
+        np.asarray([leaf[1] for leaf in leaves]), np.asarray([leaf[2] for leaf in leaves]),
+        [leaf[0] for leaf in leaves], np.asarray([below[leaf[0]] for leaf in leaves], dtype=np.int64),
+    )
+
+
+def leaf_priorities(forest: tuple, rows: np.ndarray) -> np.ndarray:
+    """Of each leaf (rows of the result) the priority at which ``best_first`` meets it, for each query (columns)."""
+    planes, offsets, levels, above, sides, leaf_above, leaf_sides, _ = forest
+    margins = planes.astype(np.float64) @ rows.T - offsets[:, None]
+    at = np.full(margins.shape, math.inf)
+    for begin, end in levels:
+        over = above[begin:end]
+        at[begin:end] = np.minimum(at[over], sides[begin:end, None] * margins[over])
+    return np.minimum(np.minimum(at[leaf_above], leaf_sides[:, None] * margins[leaf_above]), 1e9)
+
+
+def probed_bits(index: dict, queries: DataFrame, wanted: int, forest: Forest) -> DataFrame:
+    """``queries`` with the leaves of ``probe_leaves`` as bits by their number in ``forest``, and how many they are: (*, bits,
+    leaves)."""
+    spark = queries.sparkSession
+    # in a single tier, which of equal priorities come first is the queue's choice
+    first = None
+    if index["manifest"]["tiers"] == 1:
+        number = {name: i for i, name in enumerate(forest.names)}
+        first = [(tree.plain(), sizes, np.array([number.get((t, path), -1) for path in tree.paths])) for t, tree, sizes in _first_tier(index)]
+    shipped = spark.sparkContext.broadcast((forest.plain(), first))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, first = shipped.value
+        sizes = plain[-1]
+        trees = [(t, Subtree(*parts), n) for t, (parts, n, _) in enumerate(first)] if first else []
+        step = max(1, (1 << 22) // max(1, len(plain[1])))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                rows = _matrix(batch.column("vector"))
+                chosen = np.zeros((len(rows), len(sizes)), dtype=bool)
+                if first:
+                    for own, row in zip(chosen, rows):
+                        met = [(-min(p, 1e9), int(first[t][2][leaf])) for t, leaf, p in best_first(trees, row, math.inf, float(wanted), 1)]
+                        met = sorted(pair for pair in met if pair[1] >= 0)
+                        order = np.array([leaf for _, leaf in met], dtype=np.int64)
+                        own[order[np.cumsum(sizes[order]) - sizes[order] < wanted]] = True
+                else:
+                    order = np.argsort(-np.ascontiguousarray(leaf_priorities(plain, rows).T), axis=1, kind="stable")
+                    held = sizes[order]
+                    np.put_along_axis(chosen, order, np.cumsum(held, axis=1) - held < wanted, axis=1)
+                bits = pa.array([bits.tobytes() for bits in np.packbits(chosen, axis=1)], pa.binary())
+                columns = [*batch.columns, bits, pa.array(chosen.sum(axis=1), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "bits", "leaves"])
+
+    schema = T.StructType([*queries.schema.fields, T.StructField("bits", T.BinaryType()), T.StructField("leaves", T.LongType())])
+    return queries.mapInArrow(choose, schema)
+
+
+def leaves_of_items(index: dict, forest: Forest) -> DataFrame:
+    """(item_id, places): the numbers of the leaves that hold an item, one per tree."""
+    spark = index["postings"].sparkSession
+    numbers = pa.table({
+        "tree": pa.array([t for t, _ in forest.names], pa.int32()),
+        "leaf": pa.array([leaf for _, leaf in forest.names], pa.string()),
+        "place": pa.array(range(len(forest.names)), pa.int32()),
+    })
+    # a row per leaf, fewer than there are planes and trees together
+    numbered = index["postings"].join(F.broadcast(spark.createDataFrame(numbers)), ["tree", "leaf"])
+    return numbered.groupBy("item_id").agg(F.collect_set("place").alias("places"))
+
+
+def held_by_bits(query_rows: pa.Table, item_rows: pa.Table) -> Iterator[tuple[slice, object]]:
+    """Blocks of queries and, for each, which of some items lie in one of a query's leaves (queries x items)."""
+    places = item_rows.column("places").to_pylist()
+    width = max(len(p) for p in places)
+    places = np.array([p + [p[0]] * (width - len(p)) for p in places], dtype=np.int64)
+    bits = [np.frombuffer(b, dtype=np.uint8) for b in query_rows.column("bits").to_pylist()]
+    for start in range(0, len(bits), STEP_QUERIES):
+        some = slice(start, min(start + STEP_QUERIES, len(bits)))
+        chosen = np.unpackbits(np.stack(bits[some]), axis=1)
+        if len(chosen) < STEP_QUERIES:
+            chosen = np.vstack([chosen, np.zeros((STEP_QUERIES - len(chosen), chosen.shape[1]), dtype=np.uint8)])
+        askers = np.ascontiguousarray(np.packbits(chosen, axis=0).T).view(np.uint64)  # of each leaf, the queries as bits
+
+        def held(part: slice, askers: np.ndarray = askers, n: int = some.stop - some.start) -> np.ndarray:
+            own = places[part]
+            either = askers[own[:, 0]]
+            for tree in range(1, own.shape[1]):
+                either |= askers[own[:, tree]]
+            return np.ascontiguousarray(np.unpackbits(either.view(np.uint8), axis=1)[:, :n].T).view(bool)
+
+        yield some, held
+
+
+def candidate_counts(index: dict, queries: DataFrame, wanted: int) -> DataFrame:
+    """Per query the leaves met, the distinct items in them, and whether ``target`` is one: (query_id, leaves, candidates, own).
+
+    ``queries`` is (query_id, vector, target). The candidates are formed in cells and only counted, never written out.
+    """
+    forest = whole_forest(index)
+    queries = queries.filter(F.size("vector") > 0).dropDuplicates(["query_id", "vector"])
+    chosen = materialise(probed_bits(index, queries, wanted, forest).select("query_id", "target", "leaves", "bits"), "chosen")
+    items = materialise(leaves_of_items(index, forest), "places")
+
+    def meet(query_rows: pa.Table, item_rows: pa.Table) -> pa.Table:
+        n = query_rows.num_rows
+        counts, own = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        if n and item_rows.num_rows:
+            ids = item_rows.column("item_id").to_numpy()
+            targets = query_rows.column("target").to_pylist()
+            for some, held in held_by_bits(query_rows, item_rows):
+                asked: dict[int, list[int]] = {}
+                for row, target in enumerate(targets[some]):
+                    asked.setdefault(target, []).append(row)
+                for start in range(0, len(ids), STEP_ITEMS):
+                    part = slice(start, min(start + STEP_ITEMS, len(ids)))
+                    found = held(part)
+                    counts[some] += np.count_nonzero(found, axis=1)
+                    for col, item in enumerate(ids[part].tolist()):
+                        for row in asked.get(item, ()):
+                            own[some.start + row] += found[row, col]
+        columns = [query_rows.column("query_id"), query_rows.column("leaves"), pa.array(counts), pa.array(own)]
+        return pa.table(columns, names=["query_id", "leaves", "candidates", "own"])
+
+    counted = in_cells(chosen, items, meet, "query_id bigint, leaves bigint, candidates bigint, own bigint")
+    return counted.groupBy("query_id", "leaves").agg(F.sum("candidates").alias("candidates"), F.sum("own").alias("own"))
+
+
+def _crowded_top_k(index: dict, queries: DataFrame, wanted: int, k: int) -> DataFrame:
+    """(query_id, item_id, distance): the nearest of the items in the leaves that a query meets, ``k`` per block of items."""
+    forest = whole_forest(index)
+    chosen = materialise(probed_bits(index, queries, wanted, forest).drop("leaves"), "chosen")
+    vectors = index["items"].dropDuplicates(["item_id", "h1", "h2"]).select("item_id", "vector")
+    items = materialise(leaves_of_items(index, forest).join(vectors, "item_id"), "places")
+    return in_cells(chosen, items, cell_top_k(k, held_by_bits), _HITS)
+
+
 def postings_of(index: dict, probes: DataFrame) -> DataFrame:
     """The postings of the probed leaves; only the folders that hold some of them are read."""
     parts = sorted(r[0] for r in probes.select("part").distinct().collect())  # PARTS at most
@@ -427,20 +642,33 @@ def knn_candidates(index: dict, queries: DataFrame, candidates: int | None = Non
 
     An item that several trees propose counts once, and stands for its exact copies.
     """
+    wanted = candidates or index["manifest"]["candidates"]
+    if crowded(index, queries.count(), wanted):
+        return candidate_counts(index, queries.withColumn("target", F.lit(None).cast("bigint")), wanted).drop("own")
     probes = materialise(probe_leaves(index, queries, candidates), "probes")
     pairs = probes.select("query_id", "tree", "leaf").join(postings_of(index, probes), ["tree", "leaf"]).select("query_id", "item_id").distinct()
     items = pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("candidates"))
     return probes.groupBy("query_id").agg(F.count(F.lit(1)).alias("leaves")).join(items, "query_id")
 
 
+def candidates_with(index: dict, queries: DataFrame, targets: DataFrame) -> DataFrame:
+    """(query_id, own): how often the item ``target`` of a query, from (query_id, target), is among its distinct candidates."""
+    wanted = index["manifest"]["candidates"]
+    if crowded(index, queries.count(), wanted):
+        return candidate_counts(index, queries.join(targets, "query_id"), wanted).select("query_id", "own")
+    probes = materialise(probe_leaves(index, queries), "probes")
+    pairs = probes.join(postings_of(index, probes), ["tree", "leaf"]).select("query_id", "item_id").distinct()
+    return pairs.join(targets, "query_id").groupBy("query_id").agg(F.count_if(F.col("item_id") == F.col("target")).alias("own"))
+
+
 def search(index: dict, queries: DataFrame, k: int = 10, candidates: int | None = None, include_distances: bool = True) -> DataFrame:
     """Approximately nearest ``k`` items per query: (query_id, item_id[, distance], rank).
 
     Every query gets min(k, items) rows. ``candidates`` is how many items the probed leaves hold, counted once per tree;
     by default what the index was tuned to, and never so few that k different items could be missed. Equal query vectors
     are searched once. A vector that has copies stands for them until the end; of its copies the first ``k`` ids can make
-    the result, so only those are put back. Items and queries meet leaf by leaf, so a vector moves once per leaf and block
-    and pairs are never written; what several trees find is made distinct by id. Null and empty queries get no rows.
+    the result, so only those are put back. Items and queries meet leaf by leaf, so a vector moves once per leaf and block,
+    or in cells where the searches are ``crowded``; pairs are never written; what several trees find is made distinct by id. Null and empty queries get no rows.
     """
     manifest = index["manifest"]
     wanted = max(candidates or manifest["candidates"], k * manifest["n_trees"])
@@ -449,9 +677,11 @@ def search(index: dict, queries: DataFrame, k: int = 10, candidates: int | None
     first = hashed.groupBy("h1", "h2").agg(F.min("query_id").alias("rep"))
     askers = hashed.select("query_id", "h1", "h2").join(first, ["h1", "h2"]).select("rep", "query_id")
     distinct = materialise(hashed.join(first.select(F.col("rep").alias("query_id")), "query_id", "left_semi").select("query_id", "vector"), "distinct")
-    probes = materialise(probe_leaves(index, distinct, wanted), "probes")
-
-    near = block_top_k(probes.select("tree", "leaf", "query_id"), postings_of(index, probes), ["tree", "leaf"], distinct, index["items"], k)
+    if crowded(index, distinct.count(), wanted):
+        near = _crowded_top_k(index, distinct, wanted, k)
+    else:
+        probes = materialise(probe_leaves(index, distinct, wanted), "probes")
+        near = block_top_k(probes.select("tree", "leaf", "query_id"), postings_of(index, probes), ["tree", "leaf"], distinct, index["items"], k)
     best = materialise(top_k_per_query(near.distinct(), k).drop("rank"), "best")
     # the leaves of a subtree may be few: a query that met fewer than k different items scans them all
     reps = index["copies"].select("rep").distinct()

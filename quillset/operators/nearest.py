@@ -4,13 +4,16 @@ All searches share one kernel: inside a task a block of queries meets a block of
 the best ``k`` items per query leave the task. Pairs are never written out.
 
 * ``knn_exact`` with few queries ships them to the tasks that scan the items: no shuffle of vectors. With many
-  queries both sides are cut into blocks of bounded size.
+  queries both sides are cut into blocks of bounded size, and a task holds a block of each (``in_cells``).
 
 Approximate search over a written index is in ``forest``; it uses the same kernel.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,6 +29,13 @@ QUERY_BLOCK = 1024
 ITEM_BLOCK = 8192
 DISTANCE_DIGITS = 6  # equal vectors must tie whatever the order of additions, so distances are rounded
 
+#: Queries and items of one cell. Items beyond four blocks make the blocks larger, up to the second number.
+CELL_QUERIES, CELL_ITEMS = 4096, (32_768, 131_072)
+#: Queries and items that meet as one matrix inside a cell.
+STEP_QUERIES, STEP_ITEMS = 256, 4096
+#: Similarities this close may be equal as rounded distances.
+NEAR = 4e-6
+
 _HITS = "query_id bigint, item_id bigint, distance double"
 
 
@@ -88,10 +98,7 @@ def knn_exact(queries: DataFrame, items: DataFrame, k: int = 10, max_queries: in
     if fits_broadcast(queries, max_queries):
         local = _scan_with_queries(queries, items, k)
     else:
-        everything = F.lit(0).alias("all")
-        local = block_top_k(
-            queries.select(everything, "query_id"), items.select(everything, "item_id"), ["all"], queries, items, k
-        )
+        local = in_cells(queries.select("query_id", "vector"), items.select("item_id", "vector"), cell_top_k(k), _HITS)
     return top_k_per_query(local, k)
 
 
@@ -126,6 +133,86 @@ def _scan_with_queries(queries: DataFrame, items: DataFrame, k: int) -> DataFram
     return items.select("item_id", "vector").mapInArrow(scan, _HITS)
 
 
+def in_cells(queries: DataFrame, items: DataFrame, meet: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``meet`` of every block of ``queries`` with every block of ``items``; rows are dealt to their blocks by the hash of
+    ``query_id`` and ``item_id``. Rows without an id take no part.
+
+    Both sides are counted, and each row is sent once per block of the other side, so hand in written tables.
+    """
+    queries, items = queries.filter("query_id is not null"), items.filter("item_id is not null")
+    n_queries, n_items = queries.count(), items.count()
+    i_blocks = max(1, math.ceil(n_items / min(max(CELL_ITEMS[0], n_items // 4), CELL_ITEMS[1])))
+    at_once = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    q_blocks = max(1, math.ceil(n_queries / CELL_QUERIES), min(math.ceil(at_once / i_blocks), math.ceil(n_queries / STEP_QUERIES)))
+
+    def dealt(side: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+        placed = side.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int"))
+        return placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+
+    left = dealt(queries, "query_id", "_q", q_blocks, "_i", i_blocks)
+    right = dealt(items, "item_id", "_i", i_blocks, "_q", q_blocks)
+    return left.groupBy("_q", "_i").cogroup(right.groupBy("_q", "_i")).applyInArrow(meet, schema)
+
+
+def cell_top_k(k: int, held_of: Callable | None = None) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For ``in_cells``: the ``k`` nearest items of the block per query, ties by item id.
+
+    ``held_of(query_rows, item_rows)`` yields (queries, held), held(items) telling which of these each of those may find.
+    """
+
+    def meet(query_rows: pa.Table, item_rows: pa.Table) -> pa.Table:
+        none = np.empty(0, dtype=np.int64)
+        if not query_rows.num_rows or not item_rows.num_rows:
+            return pa.table(_hits(none, none, none, np.empty(0)))
+        query_ids, item_ids = query_rows.column("query_id").to_numpy(), item_rows.column("item_id").to_numpy()
+        queries, items = _matrix(query_rows.column("vector")), _matrix(item_rows.column("vector"))
+        if held_of is None:
+            steps = ((slice(a, a + STEP_QUERIES), None) for a in range(0, len(queries), STEP_QUERIES))
+        else:
+            steps = held_of(query_rows, item_rows)
+        found = [(none, none, np.empty(0))]
+        for some, held in steps:
+            row, col, near = _best_of_steps(queries[some], items, item_ids, k, held)
+            found.append((row + some.start, col, near))
+        row, col, near = (np.concatenate(parts) for parts in zip(*found))
+        return pa.table(_hits(query_ids, row, item_ids[col], near))
+
+    return meet
+
+
+def _best_of_steps(queries: np.ndarray, items: np.ndarray, item_ids: np.ndarray, k: int, held: Callable | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, distance) of the k nearest per query. Items pass by in steps; what cannot be among the k nearest so far
+    is left out by its similarity alone."""
+    bound = np.full(len(queries), -1.5)
+    rows, cols, sims = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+    for start in range(0, len(items), STEP_ITEMS):
+        part = slice(start, min(start + STEP_ITEMS, len(items)))
+        may = None if held is None else held(part)
+        if may is not None and not may.any():
+            continue
+        like = queries @ items[part].T
+        if may is not None:
+            np.copyto(like, -3.0, where=~may)
+        near = like >= bound[:, None]
+        if np.count_nonzero(near) > 8 * k * len(queries) and like.shape[1] > k:
+            bound = np.maximum(bound, np.partition(like, -k, axis=1)[:, -k] - NEAR)
+            near = like >= bound[:, None]
+        row, col = np.nonzero(near)
+        rows, cols, sims = np.append(rows, row), np.append(cols, col + start), np.append(sims, like[row, col])
+        order = np.lexsort((-sims, rows))
+        rows, cols, sims = rows[order], cols[order], sims[order]
+        first = np.searchsorted(rows, np.arange(len(queries)))
+        full = np.append(first[1:], len(rows)) - first >= k
+        bound[full] = np.maximum(bound[full], sims[first[full] + k - 1] - NEAR)
+        kept = sims >= bound[rows]
+        rows, cols, sims = rows[kept], cols[kept], sims[kept]
+    distances = np.round(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * sims)), DISTANCE_DIGITS)
+    order = np.lexsort((item_ids[cols], distances, rows))
+    rows, cols, distances = rows[order], cols[order], distances[order]
+    kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[kept], cols[kept], distances[kept]
+
+
 def block_top_k(
     queries: DataFrame,
     items: DataFrame,

@@ -282,11 +282,8 @@ def j6_candidates_hold_the_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = fixtures.vectors(spark, sf_dir).select("item_id", "vector")
     index = forest.build_index(items)
     queries = items.withColumnRenamed("item_id", "query_id")
-    probes = materialise(forest.probe_leaves(index, queries), "probes")
-    pairs = probes.join(forest.postings_of(index, probes), ["tree", "leaf"]).select("query_id", "item_id").distinct()
-    own = index["copies"].withColumnRenamed("item_id", "query_id")
-    found = pairs.join(own, "query_id").groupBy("query_id").agg(F.count_if(F.col("item_id") == F.col("rep")).alias("own"))
-    return found.select("query_id", "own")
+    own = index["copies"].select(F.col("item_id").alias("query_id"), F.col("rep").alias("target"))
+    return forest.candidates_with(index, queries, own)
 
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,3 +194,38 @@ def test_texts_without_words_have_no_direction(spark):
     vectors = {r["doc_id"]: r["vector"] for r in embedding.embed_text(df, model).collect()}
     assert vectors[3] is None and vectors[2] == vectors[4] == [0.0] * 16 and max(vectors[1]) > 0
     assert [r["item_id"] for r in retrieval.index_documents(df, model, n_trees=1)["items"].collect()] == [1]
+
+
+@pytest.mark.parametrize("sample", [16_384, 300])  # without and with subtrees
+def test_crowded_searches_meet_in_cells_and_write_no_row_per_leaf(spark, monkeypatch, sample):
+    monkeypatch.setattr(forest, "SAMPLE", sample)
+    items = np.random.default_rng(9).standard_normal((1200, 12)).astype(np.float32)
+    items[50:55] = items[3]
+    df = frame(spark, items, "item_id")
+    index = forest.build_index(df, n_trees=3, leaf_size=64)
+    assert (index["manifest"]["tiers"] > 1) == (sample == 300)
+    queries = df.withColumnRenamed("item_id", "query_id")
+    targets = index["copies"].selectExpr("item_id as query_id", "rep as target")
+
+    def answers():
+        near = found(forest.search(index, queries, 10))
+        candidates = {tuple(r) for r in forest.knn_candidates(index, queries).collect()}
+        own = {tuple(r) for r in forest.candidates_with(index, queries, targets).collect()}
+        return near, candidates, own
+
+    by_leaf = answers()
+    monkeypatch.setattr(forest, "PAIRS", 0)
+    monkeypatch.setattr(forest, "probe_leaves", None)
+    monkeypatch.setattr(forest, "block_top_k", None)
+    assert answers() == by_leaf
+    assert by_leaf[2] == {(i, 1) for i in range(1200)}
+
+
+def test_exact_search_of_many_queries_in_several_cells(spark, data, monkeypatch):
+    queries, items = data
+    monkeypatch.setattr(nearest, "CELL_QUERIES", 8)
+    monkeypatch.setattr(nearest, "CELL_ITEMS", (64, 64))
+    monkeypatch.setattr(nearest, "STEP_QUERIES", 4)
+    wanted = brute(queries.astype(np.float64), items.astype(np.float64), 10)
+    got = nearest.knn_exact(frame(spark, queries, "query_id"), frame(spark, items, "item_id"), 10, max_queries=5)
+    assert found(got) == wanted
