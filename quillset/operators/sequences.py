@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillset.functions.fixed_values import MASKED_LABEL, SPECIAL_TOKENS
 from quillset.functions.text import basic_tokens
@@ -94,14 +96,48 @@ def assemble_sequence(
 ) -> DataFrame:
     """One array per key with the values in the order of ``pos``.
 
-    Stretches of ``chunk`` positions are sorted on their own first, so the work on one long sequence is spread; the
-    last step only strings its stretches together into the row that the sequence is.
+    Rows that already follow one another by position travel as one stretch, at most to the next multiple of ``chunk``, and
+    are sent once: by key, not row by row and again stretch by stretch. Only stretches that overlap are sorted value by value.
     """
-    cut = df.withColumn("_chunk", F.floor(F.col(pos) / F.lit(chunk)).cast("bigint"))
-    cells = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
-    parts = cut.groupBy(*keys, "_chunk").agg(F.transform(cells, lambda c: c["v"]).alias("_part"))
-    ordered = F.sort_array(F.collect_list(F.struct("_chunk", "_part")))
-    return parts.groupBy(*keys).agg(F.flatten(F.transform(ordered, lambda c: c["_part"])).alias(out))
+    cut = _stretches(df.select(*keys, F.col(pos).alias("_pos"), F.col(value).alias("_value")), list(keys), chunk)
+    parts = cut.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "_values"))).alias("_parts"))
+    ends = F.transform("_parts", lambda p: p["_pos"].cast("bigint") + F.size(p["_values"]))
+    apart = F.zip_with(F.slice(ends, 1, F.size("_parts") - 1), F.slice("_parts", 2, F.size("_parts")), lambda end, p: p["_pos"] >= end)
+    cells = F.flatten(
+        F.transform("_parts", lambda p: F.transform(p["_values"], lambda v, i: F.struct((p["_pos"].cast("bigint") + i).alias("p"), v.alias("v"))))
+    )
+    ordered = F.transform(F.sort_array(cells), lambda c: c["v"])
+    return parts.select(
+        *keys, F.when(F.forall(apart, lambda x: F.coalesce(x, F.lit(False))), F.flatten("_parts._values")).otherwise(ordered).alias(out)
+    )
+
+
+def _stretches(df: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """(*keys, _pos, _values): neighbouring rows of equal keys whose positions count up by one, as one row; no shuffle."""
+    kind = df.schema["_pos"].dataType
+    if not isinstance(kind, T.IntegralType):
+        return df.select(*keys, "_pos", F.array("_value").alias("_values"))
+    schema = T.StructType([*[df.schema[k] for k in keys], df.schema["_pos"], T.StructField("_values", T.ArrayType(df.schema["_value"].dataType))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            at = batch.column("_pos")
+            known = np.asarray(pc.is_valid(at))
+            place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            goes_on = known[1:] & known[:-1] & (np.diff(place) == 1) & (place[1:] % chunk != 0)
+            for name in keys:
+                column = batch.column(name)
+                same = pc.equal(column.slice(1), column.slice(0, n - 1))  # a null key begins a stretch of its own
+                goes_on &= np.asarray(pc.fill_null(same, False))
+            begins = np.flatnonzero(np.append(True, ~goes_on))
+            offsets = pa.array(np.append(begins, n), pa.int32())
+            heads = [batch.column(name).take(pa.array(begins)) for name in (*keys, "_pos")]
+            yield pa.RecordBatch.from_arrays([*heads, pa.ListArray.from_arrays(offsets, batch.column("_value"))], names=[*keys, "_pos", "_values"])
+
+    return df.mapInArrow(run, schema)
 
 
 def truncate_sequences(df: DataFrame, max_len: int, *columns: str) -> DataFrame:

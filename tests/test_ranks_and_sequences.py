@@ -151,3 +151,16 @@ def test_packing_by_a_text_key(spark):
     blocks = sequences.pack_sequences(df, "id", block=7, drop_last=False).orderBy("block").collect()
     whole = [x for i in reversed(range(9)) for x in [*[i] * (i + 1), 3]]
     assert [x for r in blocks for x in r["input_ids"]] == whole
+
+
+def test_assembled_rows_travel_once_and_as_stretches(spark):
+    rows = [(k, p, f"{k}.{p}") for k in (3, None, 5) for p in range(40)] + [(5, p, f"again {p}") for p in range(10, 12)]
+    rows += [(7, None, "y"), (7, None, "x"), (7, 2, None), (7, 0, "z"), (3, 2**31 - 1, "last")]
+    df = spark.createDataFrame(rows, "k int, pos int, v string").coalesce(1)
+    whole = sequences.assemble_sequence(df, ["k"], "pos", "v", "vs", chunk=16)
+    got = {r["k"]: r["vs"] for r in whole.collect()}
+    own = lambda k: [f"{k}.{p}" for p in range(40)]
+    assert got == {3: [*own(3), "last"], None: own(None), 5: own(5)[:10] + ["5.10", "again 10", "5.11", "again 11"] + own(5)[12:], 7: ["x", "y", "z", None]}
+    spread = sequences.assemble_sequence(df.repartition(3), ["k"], "pos", "v", "vs")
+    assert spread._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sequences._stretches(df.selectExpr("k", "pos as _pos", "v as _value"), ["k"], 1000).filter("k = 3").count() == 2
