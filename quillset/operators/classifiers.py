@@ -23,6 +23,7 @@ from quillset.operators.decoding import Transitions, count_transitions, decode,
 from quillset.operators.metrics import choice_scores, token_accuracy
 from quillset.operators.rows import explode_rows, posexplode_rows
 from quillset.operators.spans import entity_scores, span_array
+from quillset.operators.token_regression import fit_token_regression, token_chances
 from quillset.session import materialise
 
 
@@ -99,12 +100,8 @@ def train_token_classifier(
     sentences: DataFrame, tokens: str, labels: str, dim: int = 1 << 14, reg_param: float = 0.001, max_iter: int = 20
 ) -> PipelineModel:
     """Multinomial regression over hashed token features; masked positions are left out."""
-    rows = token_features(sentences.select(tokens, labels), tokens, labels).filter(F.col("label") != MASKED_LABEL)
     hasher = FeatureHasher(inputCols=_TOKEN_FEATURES, outputCol="features", numFeatures=dim)
-    # the regression reads its input more than once, so the hashed features are written once
-    hashed = materialise(hasher.transform(rows).select("label", "features"), "token-features")
-    regression = LogisticRegression(family="multinomial", regParam=reg_param, maxIter=max_iter).fit(hashed)
-    return PipelineModel(stages=[hasher, regression])
+    return PipelineModel(stages=[hasher, fit_token_regression(sentences, tokens, labels, dim, reg_param, max_iter)])
 
 
 def tag_tokens(
@@ -131,18 +128,9 @@ def tag_sentences(
 ) -> DataFrame:
     """Sentences decoded as wholes: (key, tokens, [labels,] pred, scores), label ids and the model's chance of each.
 
-    Keys are unique; a sentence without tokens has no row. One shuffle brings a sentence's tokens together again.
+    One shuffle brings the rows of a key together: theirs are the cells of one sentence, by position, token and label.
     """
-    columns = [key, tokens, *([labels] if labels else [])]
-    scored = model.transform(token_features(sentences.select(*columns), tokens, labels))
-    cell = F.struct("pos", "token", *(["label"] if labels else []), vector_to_array("probability").alias("p"))
-    whole = scored.groupBy(key).agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
-    whole = whole.select(
-        key,
-        F.col("_cells.token").alias(tokens),
-        *([F.col("_cells.label").alias(labels)] if labels else []),
-        F.flatten(F.col("_cells.p")).alias("_chances"),
-    )
+    whole = token_chances(model.stages[-1], sentences, key, tokens, labels, "_chances")
     return decode(whole, "_chances", weights, "pred", "scores").drop("_chances")
 
 

@@ -628,7 +628,7 @@ def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m5_tag_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sentences = fixtures.named_words(spark, sf_dir)
+    sentences = materialise(fixtures.named_words(spark, sf_dir), "sentences")
     model = classifiers.train_token_classifier(sentences, "tokens", "tags")
     weights = classifiers.sequence_weights(model, sentences, "tags")
     benchmark = fixtures.table(spark, sf_dir, "benchmark")
