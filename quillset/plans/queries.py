@@ -620,7 +620,7 @@ def m3_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m4_train_token_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sentences = ranks.train_test_split(fixtures.named_words(spark, sf_dir), "sent_id", 0.2, SEED)
+    sentences = materialise(ranks.train_test_split(fixtures.named_words(spark, sf_dir), "sent_id", 0.2, SEED), "sentences")
     train, test = sentences.filter("split = 'train'"), sentences.filter("split = 'test'")
     model = classifiers.train_token_classifier(train, "tokens", "tags")
     weights = classifiers.sequence_weights(model, train, "tags")
