@@ -513,7 +513,8 @@ def token_chances(
         known = known.filter(F.col(column).isNotNull())
     parts = known.groupBy(key).agg(F.collect_list(F.struct(*columns)).alias("_parts"))
     dim = model.numFeatures
-    schema = T.StructType([*known.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
+    lists = [T.StructField(c, T.ArrayType(known.schema[c].dataType.elementType)) for c in columns]  # cells may be null
+    schema = T.StructType([known.schema[key], *lists, T.StructField(out, T.ArrayType(T.DoubleType()))])
     shipped = sentences.sparkSession.sparkContext.broadcast((np.pad(model.coefficientMatrix.toArray(), ((0, 0), (0, 1))), model.interceptVector.toArray()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
