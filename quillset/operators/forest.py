@@ -617,7 +617,7 @@ def candidate_counts(index: dict, queries: DataFrame, wanted: int) -> DataFrame:
         columns = [query_rows.column("query_id"), query_rows.column("leaves"), pa.array(counts), pa.array(own)]
         return pa.table(columns, names=["query_id", "leaves", "candidates", "own"])
 
-    counted = in_cells(chosen, items, meet, "query_id bigint, leaves bigint, candidates bigint, own bigint")
+    counted = in_cells(chosen, items, meet, "query_id bigint, leaves bigint, candidates bigint, own bigint", wide=True)
     return counted.groupBy("query_id", "leaves").agg(F.sum("candidates").alias("candidates"), F.sum("own").alias("own"))
 
 
@@ -627,7 +627,7 @@ def _crowded_top_k(index: dict, queries: DataFrame, wanted: int, k: int) -> Data
     chosen = materialise(probed_bits(index, queries, wanted, forest).drop("leaves"), "chosen")
     vectors = index["items"].dropDuplicates(["item_id", "h1", "h2"]).select("item_id", "vector")
     items = materialise(leaves_of_items(index, forest).join(vectors, "item_id"), "places")
-    return in_cells(chosen, items, cell_top_k(k, held_by_bits), _HITS)
+    return in_cells(chosen, items, cell_top_k(k, held_by_bits), _HITS, wide=True)
 
 
 def postings_of(index: dict, probes: DataFrame) -> DataFrame:

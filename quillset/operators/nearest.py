@@ -29,8 +29,9 @@ QUERY_BLOCK = 1024
 ITEM_BLOCK = 8192
 DISTANCE_DIGITS = 6  # equal vectors must tie whatever the order of additions, so distances are rounded
 
-#: Queries and items of one cell. Items beyond four blocks make the blocks larger, up to the second number.
-CELL_QUERIES, CELL_ITEMS = 4096, (32_768, 131_072)
+#: Queries and items of one cell. Items beyond four blocks make the blocks larger, up to the second number; so do queries
+#: beyond the third number of blocks, up to eight times the first, where they come without bits.
+CELL_QUERIES, CELL_ITEMS, CELL_ROWS = 4096, (32_768, 131_072), 24
 #: Queries and items that meet as one matrix inside a cell.
 STEP_QUERIES, STEP_ITEMS = 256, 4096
 #: Similarities this close may be equal as rounded distances.
@@ -133,17 +134,20 @@ def _scan_with_queries(queries: DataFrame, items: DataFrame, k: int) -> DataFram
     return items.select("item_id", "vector").mapInArrow(scan, _HITS)
 
 
-def in_cells(queries: DataFrame, items: DataFrame, meet: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+def in_cells(
+    queries: DataFrame, items: DataFrame, meet: Callable[[pa.Table, pa.Table], pa.Table], schema: str, wide: bool = False
+) -> DataFrame:
     """``meet`` of every block of ``queries`` with every block of ``items``; rows are dealt to their blocks by the hash of
-    ``query_id`` and ``item_id``. Rows without an id take no part.
+    ``query_id`` and ``item_id``. Rows without an id take no part. Blocks of ``wide`` queries stay small.
 
     Both sides are counted, and each row is sent once per block of the other side, so hand in written tables.
     """
     queries, items = queries.filter("query_id is not null"), items.filter("item_id is not null")
     n_queries, n_items = queries.count(), items.count()
+    q_size = CELL_QUERIES if wide else min(max(CELL_QUERIES, math.ceil(n_queries / CELL_ROWS)), 8 * CELL_QUERIES)
     i_blocks = max(1, math.ceil(n_items / min(max(CELL_ITEMS[0], n_items // 4), CELL_ITEMS[1])))
     at_once = 4 * queries.sparkSession.sparkContext.defaultParallelism
-    q_blocks = max(1, math.ceil(n_queries / CELL_QUERIES), min(math.ceil(at_once / i_blocks), math.ceil(n_queries / STEP_QUERIES)))
+    q_blocks = max(1, math.ceil(n_queries / q_size), min(math.ceil(at_once / i_blocks), math.ceil(n_queries / STEP_QUERIES)))
 
     def dealt(side: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         placed = side.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int"))
@@ -166,13 +170,14 @@ def cell_top_k(k: int, held_of: Callable | None = None) -> Callable[[pa.Table, p
             return pa.table(_hits(none, none, none, np.empty(0)))
         query_ids, item_ids = query_rows.column("query_id").to_numpy(), item_rows.column("item_id").to_numpy()
         queries, items = _matrix(query_rows.column("vector")), _matrix(item_rows.column("vector"))
+        rough = items.astype(np.float32)
         if held_of is None:
             steps = ((slice(a, a + STEP_QUERIES), None) for a in range(0, len(queries), STEP_QUERIES))
         else:
             steps = held_of(query_rows, item_rows)
         found = [(none, none, np.empty(0))]
         for some, held in steps:
-            row, col, near = _best_of_steps(queries[some], items, item_ids, k, held)
+            row, col, near = _best_of_steps(queries[some], items, rough, item_ids, k, held)
             found.append((row + some.start, col, near))
         row, col, near = (np.concatenate(parts) for parts in zip(*found))
         return pa.table(_hits(query_ids, row, item_ids[col], near))
@@ -180,37 +185,72 @@ def cell_top_k(k: int, held_of: Callable | None = None) -> Callable[[pa.Table, p
     return meet
 
 
-def _best_of_steps(queries: np.ndarray, items: np.ndarray, item_ids: np.ndarray, k: int, held: Callable | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _best_of_steps(
+    queries: np.ndarray, items: np.ndarray, rough: np.ndarray, item_ids: np.ndarray, k: int, held: Callable | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, distance) of the k nearest per query. Items pass by in steps; what cannot be among the k nearest so far
-    is left out by its similarity alone."""
-    bound = np.full(len(queries), -1.5)
-    rows, cols, sims = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
+    is left out by its similarity in single precision (``rough`` holds the items so), the rest is measured in double.
+    """
+    # what rounding of the coordinates and of each product and sum can make of a similarity of vectors of length 1
+    off = (queries.shape[1] + 8) * 2.0**-24
+    asked = queries.astype(np.float32)
+    bound, least = np.full(len(queries), -1.5), np.full((len(queries), 1), -2.0, dtype=np.float32)
+    best = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
+    waiting, n_waiting = [best], 0
     for start in range(0, len(items), STEP_ITEMS):
         part = slice(start, min(start + STEP_ITEMS, len(items)))
         may = None if held is None else held(part)
         if may is not None and not may.any():
             continue
-        like = queries @ items[part].T
+        like = asked @ rough[part].T
         if may is not None:
             np.copyto(like, -3.0, where=~may)
-        near = like >= bound[:, None]
-        if np.count_nonzero(near) > 8 * k * len(queries) and like.shape[1] > k:
-            bound = np.maximum(bound, np.partition(like, -k, axis=1)[:, -k] - NEAR)
-            near = like >= bound[:, None]
-        row, col = np.nonzero(near)
-        rows, cols, sims = np.append(rows, row), np.append(cols, col + start), np.append(sims, like[row, col])
-        order = np.lexsort((-sims, rows))
-        rows, cols, sims = rows[order], cols[order], sims[order]
-        first = np.searchsorted(rows, np.arange(len(queries)))
-        full = np.append(first[1:], len(rows)) - first >= k
-        bound[full] = np.maximum(bound[full], sims[first[full] + k - 1] - NEAR)
-        kept = sims >= bound[rows]
-        rows, cols, sims = rows[kept], cols[kept], sims[kept]
-    distances = np.round(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * sims)), DISTANCE_DIGITS)
-    order = np.lexsort((item_ids[cols], distances, rows))
-    rows, cols, distances = rows[order], cols[order], distances[order]
+        near = like >= least
+        if like.shape[1] > k and np.count_nonzero(near) > 8 * k * len(queries):
+            bound = np.maximum(bound, np.partition(like, -k, axis=1)[:, -k] - off - NEAR)
+            least = _below(bound - off)
+            near = like >= least
+        flat = np.flatnonzero(near)
+        if not len(flat):
+            continue
+        row, col = np.divmod(flat, like.shape[1])
+        waiting.append((row, col + start, _similarities(queries, items[part], row, col)))
+        n_waiting += len(flat)
+        if 2 * n_waiting >= k * len(queries):
+            best = _k_best(waiting, item_ids, k)
+            waiting, n_waiting = [best], 0
+            first = np.searchsorted(best[0], np.arange(len(queries) + 1))
+            full = np.diff(first) >= k
+            bound[full] = np.maximum(bound[full], best[2][first[:-1][full] + k - 1] - NEAR)
+            least = _below(bound - off)
+    rows, cols, sims = _k_best(waiting, item_ids, k)
+    return rows, cols, _as_distances(sims)
+
+
+def _below(bound: np.ndarray) -> np.ndarray:
+    return np.nextafter(bound.astype(np.float32), np.float32(-4.0))[:, None]
+
+
+def _as_distances(sims: np.ndarray) -> np.ndarray:
+    return np.round(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * sims)), DISTANCE_DIGITS)
+
+
+def _similarities(queries: np.ndarray, items: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Of the pairs (row, col): all pairs at once where they are many, else pair by pair, some millions of numbers at a time."""
+    if 16 * len(row) > len(queries) * len(items):
+        return (queries @ items.T)[row, col]
+    step = max(1, (1 << 22) // max(1, queries.shape[1]))
+    parts = [np.einsum("ij,ij->i", queries[row[i : i + step]], items[col[i : i + step]]) for i in range(0, len(row), step)]
+    return np.concatenate(parts)
+
+
+def _k_best(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], item_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, similarity): the ``k`` of each row that come first by rounded distance and item id, in that order."""
+    rows, cols, sims = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((item_ids[cols], _as_distances(sims), rows))
+    rows, cols, sims = rows[order], cols[order], sims[order]
     kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-    return rows[kept], cols[kept], distances[kept]
+    return rows[kept], cols[kept], sims[kept]
 
 
 def block_top_k(
