@@ -10,8 +10,9 @@ A query keeps a queue of nodes over all trees, ordered by the least distance to
 path lies. It goes on until the leaves met hold the wanted number of items. The number is found when the index is built,
 by measuring on some of its own vectors how far the queue has to go for the wanted recall.
 
-Where many queries each meet a good part of all items, rows for what they meet would grow with the square of the input. The
-leaves of a query are then one string of bits, chosen in the task that reads it, and bits and vectors meet in cells.
+Where many queries each meet a good part of all items, rows for what they meet would grow with the square of the input. Blocks
+of queries and of items then meet as vectors first, and the nearest pairs are kept that lie in a leaf the query meets; for
+queries that this leaves with too few, and for counts, the leaves met are a string of bits, and bits and vectors meet in cells.
 
 The tables under the index's folder are written once; a manifest goes last, and a folder without it cannot be opened.
 """
@@ -21,7 +22,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,6 +52,10 @@ TUNING_QUERIES, TUNING_LEAVES = 64, 4096
 #: Candidates of all queries that may become rows, and the share of the items that a query's candidates are then at least,
 #: for queries and items to meet in cells. The planes of the whole forest are then shipped, these bytes at most.
 PAIRS, CROWDED, FOREST_BYTES = 20_000_000, 1 / 16, 256 << 20
+#: Of a crowded search for k, the nearest pairs of a query that are looked up in its leaves first, in multiples of k.
+AHEAD = 2
+#: Leaves that are put in order to find where a query's leaves end; more are narrowed down first.
+ORDERED = 2048
 
 _TIER = "tree int, node string, planes array<array<float>>, offsets array<float>, children array<int>"
 
@@ -428,7 +433,7 @@ def _gone_into(met: DataFrame, queries: DataFrame, subtrees: DataFrame, leaves_e
 
 def crowded(index: dict, n_queries: int, wanted: int) -> bool:
     """Whether queries have so many candidates that they meet the items in cells and not leaf by leaf."""
-    items = index["manifest"]["items"]
+    items = index["first"].agg(F.sum("n")).first()[0] / index["manifest"]["n_trees"]  # copies lie in leaves once
     if n_queries * min(wanted, items) <= PAIRS or wanted < CROWDED * items:
         return False
     dim = F.max(F.coalesce(F.size(F.get("planes", F.lit(0))), F.lit(0)))
@@ -504,47 +509,91 @@ def whole_forest(index: dict) -> Forest:
 def leaf_priorities(forest: tuple, rows: np.ndarray) -> np.ndarray:
     """Of each leaf (rows of the result) the priority at which ``best_first`` meets it, for each query (columns)."""
     planes, offsets, levels, above, sides, leaf_above, leaf_sides, _ = forest
-    margins = planes.astype(np.float64) @ rows.T - offsets[:, None]
+    margins = planes.astype(np.float64, copy=False) @ rows.T
+    margins -= offsets[:, None]
     at = np.full(margins.shape, math.inf)
     for begin, end in levels:
         over = above[begin:end]
-        at[begin:end] = np.minimum(at[over], sides[begin:end, None] * margins[over])
-    return np.minimum(np.minimum(at[leaf_above], leaf_sides[:, None] * margins[leaf_above]), 1e9)
+        np.minimum(at[over], sides[begin:end, None] * margins[over], out=at[begin:end])
+    leaves = margins[leaf_above]
+    leaves *= leaf_sides[:, None]
+    np.minimum(leaves, at[leaf_above], out=leaves)
+    return np.minimum(leaves, 1e9, out=leaves)
+
+
+def last_leaf(priorities: np.ndarray, sizes: np.ndarray, wanted: int) -> int:
+    """The number of the leaf with which leaves, by falling priority and then by number, come to hold ``wanted`` items."""
+    among, held = np.arange(len(sizes)), 0
+    while len(among) > ORDERED:
+        own, n = priorities[among], sizes[among]
+        few = np.argsort(-own[:: len(among) // 1024])
+        share = np.cumsum(n[:: len(among) // 1024][few]) / n[:: len(among) // 1024].sum()
+        guess = int(np.searchsorted(share, (wanted - held) / n.sum()))
+        upper = own > own[:: len(among) // 1024][few[max(0, guess - 64)]]
+        lower = own < own[:: len(among) // 1024][few[min(len(few) - 1, guess + 64)]]
+        before, last = int(n[upper].sum()), len(among)
+        if held + before >= wanted:
+            among = among[upper]
+        elif held + (upto := int(n[~lower].sum())) >= wanted or upto == n.sum():
+            among, held = among[~(upper | lower)], held + before
+        else:
+            among, held = among[lower], held + upto
+        if len(among) == last:  # of one priority
+            break
+    order = np.argsort(-priorities[among], kind="stable")
+    upto = held + np.cumsum(sizes[among][order])
+    return int(among[order[min(np.searchsorted(upto, wanted), len(order) - 1)]])
 
 
-def probed_bits(index: dict, queries: DataFrame, wanted: int, forest: Forest) -> DataFrame:
-    """``queries`` with the leaves of ``probe_leaves`` as bits by their number in ``forest``, and how many they are: (*, bits,
-    leaves)."""
-    spark = queries.sparkSession
+def _chooser(index: dict, wanted: int, forest: Forest) -> Callable[[], Callable[[np.ndarray], Iterator[tuple[slice, np.ndarray]]]]:
+    """What a task calls once for a function of vectors that yields some of them and the leaves of ``probe_leaves`` they meet
+    (vectors x leaves, by their number in ``forest``)."""
     # in a single tier, which of equal priorities come first is the queue's choice
     first = None
     if index["manifest"]["tiers"] == 1:
         number = {name: i for i, name in enumerate(forest.names)}
         first = [(tree.plain(), sizes, np.array([number.get((t, path), -1) for path in tree.paths])) for t, tree, sizes in _first_tier(index)]
-    shipped = spark.sparkContext.broadcast((forest.plain(), first))
+    shipped = index["tiers"].sparkSession.sparkContext.broadcast((forest.plain(), first))
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_task() -> Callable[[np.ndarray], Iterator[tuple[slice, np.ndarray]]]:
         plain, first = shipped.value
-        sizes = plain[-1]
+        plain, sizes = (plain[0].astype(np.float64), *plain[1:]), plain[-1]
         trees = [(t, Subtree(*parts), n) for t, (parts, n, _) in enumerate(first)] if first else []
         step = max(1, (1 << 22) // max(1, len(plain[1])))
-        for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                rows = _matrix(batch.column("vector"))
-                chosen = np.zeros((len(rows), len(sizes)), dtype=bool)
+
+        def met(rows: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+            for start in range(0, len(rows), step):
+                some = slice(start, min(start + step, len(rows)))
+                chosen = np.zeros((some.stop - start, len(sizes)), dtype=bool)
                 if first:
-                    for own, row in zip(chosen, rows):
-                        met = [(-min(p, 1e9), int(first[t][2][leaf])) for t, leaf, p in best_first(trees, row, math.inf, float(wanted), 1)]
-                        met = sorted(pair for pair in met if pair[1] >= 0)
-                        order = np.array([leaf for _, leaf in met], dtype=np.int64)
+                    for own, row in zip(chosen, rows[some]):
+                        leaves = [(-min(p, 1e9), int(first[t][2][leaf])) for t, leaf, p in best_first(trees, row, math.inf, float(wanted), 1)]
+                        leaves = sorted(pair for pair in leaves if pair[1] >= 0)
+                        order = np.array([leaf for _, leaf in leaves], dtype=np.int64)
                         own[order[np.cumsum(sizes[order]) - sizes[order] < wanted]] = True
                 else:
-                    order = np.argsort(-np.ascontiguousarray(leaf_priorities(plain, rows).T), axis=1, kind="stable")
-                    held = sizes[order]
-                    np.put_along_axis(chosen, order, np.cumsum(held, axis=1) - held < wanted, axis=1)
+                    for own, priorities in zip(chosen, np.ascontiguousarray(leaf_priorities(plain, rows[some]).T)):
+                        last = last_leaf(priorities, sizes, wanted)
+                        np.greater(priorities, priorities[last], out=own)
+                        own[: last + 1] |= priorities[: last + 1] == priorities[last]
+                yield some, chosen
+
+        return met
+
+    return of_task
+
+
+def probed_bits(index: dict, queries: DataFrame, wanted: int, forest: Forest) -> DataFrame:
+    """``queries`` with the leaves of ``probe_leaves`` as bits by their number in ``forest``, and how many they are: (*, bits,
+    leaves)."""
+    chooser = _chooser(index, wanted, forest)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = chooser()
+        for batch in batches:
+            for some, chosen in met(_matrix(batch.column("vector"))):
                 bits = pa.array([bits.tobytes() for bits in np.packbits(chosen, axis=1)], pa.binary())
-                columns = [*batch.columns, bits, pa.array(chosen.sum(axis=1), pa.int64())]
+                columns = [*batch.slice(some.start, len(chosen)).columns, bits, pa.array(chosen.sum(axis=1), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "bits", "leaves"])
 
     schema = T.StructType([*queries.schema.fields, T.StructField("bits", T.BinaryType()), T.StructField("leaves", T.LongType())])
@@ -621,13 +670,64 @@ def candidate_counts(index: dict, queries: DataFrame, wanted: int) -> DataFrame:
     return counted.groupBy("query_id", "leaves").agg(F.sum("candidates").alias("candidates"), F.sum("own").alias("own"))
 
 
+def _held_first(index: dict, asked: DataFrame, wanted: int, forest: Forest, k: int, most: int) -> DataFrame:
+    """(asker, query_id, item_id, distance): of the pairs in ``near`` the first ``k`` per query that lie in a leaf it meets.
+
+    ``asked`` is (asker, query_id, vector, near), ``near`` the ``most`` nearest items in order as (distance, item_id, places). A
+    query that could find more beyond them has a row without an item instead.
+    """
+    chooser = _chooser(index, wanted, forest)
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = chooser()
+        for batch in batches:
+            for some, chosen in met(_matrix(batch.column("vector"))):
+                part = batch.slice(some.start, len(chosen))
+                near = part.column("near")
+                lengths, pairs = np.diff(near.offsets.to_numpy()), near.flatten()
+                places = pairs.field("places")
+                row = np.repeat(np.arange(len(chosen)), lengths)
+                pair = np.repeat(np.arange(len(row)), np.diff(places.offsets.to_numpy()))
+                held = np.bincount(pair, chosen[row[pair], places.flatten().to_numpy()], len(row)) > 0
+                found = np.bincount(row, held, len(chosen))
+                whole = (found >= k) | (lengths < most)
+                upto = np.cumsum(held)
+                before = np.append(0, upto)[near.offsets.to_numpy()[:-1] - near.offsets[0].as_py()]
+                kept = np.flatnonzero(held & (upto - before[row] <= k) & whole[row])
+                short = np.flatnonzero(~whole)
+                askers = pa.array(np.append(row[kept], short))
+                columns = [part.column(name).take(askers) for name in ("asker", "query_id")]
+                for name in ("item_id", "distance"):
+                    own = pairs.field(name).take(pa.array(kept))
+                    columns.append(pa.concat_arrays([own, pa.nulls(len(short), own.type)]))
+                yield pa.RecordBatch.from_arrays(columns, names=["asker", "query_id", "item_id", "distance"])
+
+    return asked.mapInArrow(hold, "asker bigint, query_id bigint, item_id bigint, distance double")
+
+
 def _crowded_top_k(index: dict, queries: DataFrame, wanted: int, k: int) -> DataFrame:
-    """(query_id, item_id, distance): the nearest of the items in the leaves that a query meets, ``k`` per block of items."""
+    """(query_id, item_id, distance): the nearest of the items in the leaves that a query meets, ``k`` at least where it meets
+    as many.
+
+    The ``AHEAD * k`` nearest of all items are found first, and a query's leaves looked up for these alone. Queries that find
+    fewer than ``k`` among them go through all items of their leaves.
+    """
     forest = whole_forest(index)
-    chosen = materialise(probed_bits(index, queries, wanted, forest).drop("leaves"), "chosen")
+    most = AHEAD * k
     vectors = index["items"].dropDuplicates(["item_id", "h1", "h2"]).select("item_id", "vector")
-    items = materialise(leaves_of_items(index, forest).join(vectors, "item_id"), "places")
-    return in_cells(chosen, items, cell_top_k(k, held_by_bits), _HITS, wide=True)
+    places = materialise(leaves_of_items(index, forest), "places")
+    items = materialise(places.join(vectors, "item_id"), "placed-vectors")
+    asked = materialise(queries.filter("query_id is not null").withColumn("asker", F.monotonically_increasing_id()), "asked")
+    near = in_cells(asked.select(F.col("asker").alias("query_id"), "vector"), items.select("item_id", "vector"), cell_top_k(most), _HITS)
+    near = top_k_per_query(near, most).join(places, "item_id")
+    lists = near.groupBy(F.col("query_id").alias("asker")).agg(F.array_sort(F.collect_list(F.struct("distance", "item_id", "places"))).alias("near"))
+    held = materialise(_held_first(index, asked.join(lists, "asker"), wanted, forest, k, most), "held")
+    best = held.filter("item_id is not null").drop("asker")
+    short = materialise(asked.join(held.filter("item_id is null").select("asker"), "asker", "left_semi"), "unheld")
+    if short.isEmpty():
+        return best
+    chosen = materialise(probed_bits(index, short.drop("asker"), wanted, forest).drop("leaves"), "chosen")
+    return best.unionByName(in_cells(chosen, items, cell_top_k(k, held_by_bits), _HITS, wide=True))
 
 
 def postings_of(index: dict, probes: DataFrame) -> DataFrame:
