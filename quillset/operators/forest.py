@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillset.operators.nearest import _HITS, STEP_ITEMS, STEP_QUERIES, _matrix, block_top_k, cell_top_k, in_cells, knn_exact
+from quillset.operators.nearest import _HITS, FEW_ANSWERS, STEP_ITEMS, STEP_QUERIES, _matrix, block_top_k, cell_top_k, in_cells, knn_exact
 from quillset.operators.ranks import top_k_per_query
 from quillset.session import broadcast_if_small, materialise, scratch_path
 
@@ -718,7 +718,7 @@ def _crowded_top_k(index: dict, queries: DataFrame, wanted: int, k: int) -> Data
     places = materialise(leaves_of_items(index, forest), "places")
     items = materialise(places.join(vectors, "item_id"), "placed-vectors")
     asked = materialise(queries.filter("query_id is not null").withColumn("asker", F.monotonically_increasing_id()), "asked")
-    near = in_cells(asked.select(F.col("asker").alias("query_id"), "vector"), items.select("item_id", "vector"), cell_top_k(most), _HITS)
+    near = in_cells(asked.select(F.col("asker").alias("query_id"), "vector"), items.select("item_id", "vector"), cell_top_k(most), _HITS, most > FEW_ANSWERS)
     near = top_k_per_query(near, most).join(places, "item_id")
     lists = near.groupBy(F.col("query_id").alias("asker")).agg(F.array_sort(F.collect_list(F.struct("distance", "item_id", "places"))).alias("near"))
     held = materialise(_held_first(index, asked.join(lists, "asker"), wanted, forest, k, most), "held")

@@ -30,8 +30,8 @@ ITEM_BLOCK = 8192
 DISTANCE_DIGITS = 6  # equal vectors must tie whatever the order of additions, so distances are rounded
 
 #: Queries and items of one cell. Items beyond four blocks make the blocks larger, up to the second number; so do queries
-#: beyond the third number of blocks, up to eight times the first, where they come without bits.
-CELL_QUERIES, CELL_ITEMS, CELL_ROWS = 4096, (32_768, 131_072), 24
+#: beyond the third number of blocks, up to eight times the first, where they come without bits and get few answers.
+CELL_QUERIES, CELL_ITEMS, CELL_ROWS, FEW_ANSWERS = 4096, (32_768, 131_072), 24, 64
 #: Queries and items that meet as one matrix inside a cell.
 STEP_QUERIES, STEP_ITEMS = 256, 4096
 #: Similarities this close may be equal as rounded distances.
@@ -99,7 +99,7 @@ def knn_exact(queries: DataFrame, items: DataFrame, k: int = 10, max_queries: in
     if fits_broadcast(queries, max_queries):
         local = _scan_with_queries(queries, items, k)
     else:
-        local = in_cells(queries.select("query_id", "vector"), items.select("item_id", "vector"), cell_top_k(k), _HITS)
+        local = in_cells(queries.select("query_id", "vector"), items.select("item_id", "vector"), cell_top_k(k), _HITS, k > FEW_ANSWERS)
     return top_k_per_query(local, k)
 
 
@@ -192,7 +192,7 @@ def _best_of_steps(
     is left out by its similarity in single precision (``rough`` holds the items so), the rest is measured in double.
     """
     # what rounding of the coordinates and of each product and sum can make of a similarity of vectors of length 1
-    off = (queries.shape[1] + 8) * 2.0**-24
+    off = 1.1 * (queries.shape[1] + 8) * 2.0**-24
     asked = queries.astype(np.float32)
     bound, least = np.full(len(queries), -1.5), np.full((len(queries), 1), -2.0, dtype=np.float32)
     best = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
@@ -207,7 +207,7 @@ def _best_of_steps(
             np.copyto(like, -3.0, where=~may)
         near = like >= least
         if like.shape[1] > k and np.count_nonzero(near) > 8 * k * len(queries):
-            bound = np.maximum(bound, np.partition(like, -k, axis=1)[:, -k] - off - NEAR)
+            bound = np.maximum(bound, np.partition(like, -k, axis=1)[:, -k].astype(np.float64) - off - NEAR)
             least = _below(bound - off)
             near = like >= least
         flat = np.flatnonzero(near)
